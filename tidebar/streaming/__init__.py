@@ -1,0 +1 @@
+"""Empty on purpose: the feature job is a batch over a finite list of days."""
