@@ -52,3 +52,10 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write `df` to `path` and read it back: computed once, safe from executor loss."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this run's own scratch data."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(target, True)
