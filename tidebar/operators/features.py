@@ -38,8 +38,13 @@ def _vol_of_vol_rolls(spec: RegimeSpec) -> list[Roll]:
     return [Roll("_rv_mean", "_rv", "mean", *week), Roll("_rv_std", "_rv", "std", *week)]
 
 
+def _root(variance: str) -> str:
+    # A difference of totals may end a hair below 0; `greatest` would also turn NULL to 0.
+    return f"sqrt(CASE WHEN {variance} < 0 THEN 0D ELSE {variance} END)"
+
+
 def _formulas(spec: RegimeSpec) -> dict[str, str]:
-    rv_day, rv_week = "sqrt(greatest(_var_day, 0D))", "sqrt(greatest(_var_week, 0D))"
+    rv_day, rv_week = _root("_var_day"), _root("_var_week")
     return {
         "trend24": f"(_lnc - _lnc_day) / {spec.trend_seconds}",
         "chop24": f"try_divide(_abs_day, {rv_day})",
@@ -65,7 +70,7 @@ def regime_features(
     """Add `FEATURE_COLS` to bars, over the rows of each group of `keys` in `ts` order."""
     columns = bars.columns
     df = rolling(bars.selectExpr("*", *_INPUTS), _level_rolls(spec), keys, method=method)
-    df = df.selectExpr("*", "sqrt(greatest(_var_day, 0D)) AS _rv")
+    df = df.selectExpr("*", f"{_root('_var_day')} AS _rv")
     df = rolling(df, _vol_of_vol_rolls(spec), keys, method=method)
     formulas = _formulas(spec)
     return df.selectExpr(*columns, *[f"{_finite(formulas[f])} AS {f}" for f in FEATURE_COLS])
@@ -132,8 +137,8 @@ def daily_regime_features(
         "ts",
         "_own",
         "_is_own",
-        f"sqrt(greatest(CASE WHEN _row >= {spec.day} THEN _var_day "
-        f"WHEN _obs >= {spec.min_day} THEN _total END, 0D)) AS _rv",
+        f"CASE WHEN _row >= {spec.day} THEN {_root('_var_day')} "
+        f"WHEN _obs >= {spec.min_day} THEN sqrt(_total) END AS _rv",
     )
     return (
         rolling(rv, _vol_of_vol_rolls(spec), FAN_KEYS)

@@ -102,6 +102,13 @@ def rolling(
     return df.selectExpr(*columns, *[f"`{r.out}`" for r in rolls])
 
 
+def lag_n(
+    df: DataFrame, out: str, col: str, n: int, keys: Sequence[str], order: Sequence[str] = ("ts",)
+) -> DataFrame:
+    """`col` as it was n rows earlier, NULL where the group is shorter."""
+    return rolling(df, [Roll(out, col, "lag", n)], keys, order)
+
+
 def zscore(
     df: DataFrame,
     out: str,

@@ -271,6 +271,8 @@ def _read_groups(archive: _Archive, files: DataFrame, by: list[str], shape) -> D
     # One entry per distinct schema, not per file.
     listed = groups.collect()
     in_folders = _folder_counts(archive) if listed else {}
+    whole = [g for g in listed if g.n_files == in_folders.get(g.kind)]
+    paths = _read_paths(archive, keyed, names) if len(whole) < len(listed) else {}
 
     pieces = []
     for group in listed:
@@ -278,11 +280,8 @@ def _read_groups(archive: _Archive, files: DataFrame, by: list[str], shape) -> D
             spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
         wanted = {t.split(":", 1)[0] for t in group.types.split(",") if t}
         fields = [f for f in spark.read.parquet(group.sample).schema.fields if f.name in wanted]
-        mine = keyed
-        for n in names:
-            mine = mine.where(F.col(n).eqNullSafe(F.lit(group[n])))
-        whole = group.n_files == in_folders.get(group.kind)
-        raw = _load(archive, group.kind, fields, None if whole else _read_paths(archive, mine))
+        mine = None if group in whole else paths[tuple(group[n] for n in names)]
+        raw = _load(archive, group.kind, fields, mine)
         pieces.append(shape(raw, group, {f.name: f.dataType for f in fields}))
     keyed.unpersist()
     if not pieces:
@@ -301,19 +300,26 @@ def _folder_counts(archive: _Archive) -> dict[int, int]:
     return {r.kind: r.n for r in kinds.agg(F.count("*").alias("n")).collect() if r.kind}
 
 
-def _read_paths(archive: _Archive, mine: DataFrame) -> list[str]:
-    """Folders all of whose files belong to the group, else the files themselves."""
+def _read_paths(archive: _Archive, keyed: DataFrame, names: list[str]) -> dict:
+    """Per group, the folders all of whose files belong to it, else the files themselves.
+
+    The reader takes its paths from the driver; folders keep that list to one entry per
+    symbol and day.
+    """
     totals = archive.files.groupBy("dir").agg(F.count("*").alias("_all"))
     whole = (
-        mine.groupBy("dir")
+        keyed.groupBy(*names, "dir")
         .agg(F.count("*").alias("_mine"))
         .join(totals, "dir")
-        .select("dir", (F.col("_mine") == F.col("_all")).alias("_whole"))
-    )
-    paths = mine.join(whole, "dir").select(
-        F.when(F.col("_whole"), F.col("dir")).otherwise(F.col("path")).alias("p")
+        .where("_mine = _all")
+        .select("dir", F.lit(True).alias("_whole"))
     )
-    return sorted(r.p for r in paths.distinct().toLocalIterator())
+    path = F.when(F.col("_whole"), F.col("dir")).otherwise(F.col("path")).alias("p")
+    found = keyed.join(whole, "dir", "left").select(*names, path).distinct().collect()
+    out: dict[tuple, list[str]] = {}
+    for row in found:
+        out.setdefault(tuple(row[n] for n in names), []).append(row.p)
+    return {group: sorted(paths) for group, paths in out.items()}
 
 
 def _load(
