@@ -1,17 +1,20 @@
 """Rolling statistics over row-count frames with a least number of observations.
 
-`rolling` evaluates many statistics in a few Window operators that share one sort.
-Two methods give the same numbers:
+`rolling` evaluates many statistics in a few Window operators. Its methods give the same
+numbers:
 
 * ``frame``: Spark's sliding frame. Each row re-aggregates its whole frame, so the cost
-  is rows x frame length. Right for short frames, and the yardstick for the other.
-* ``prefix``: running totals, a frame being the difference of two of them. The cost does
-  not depend on the frame length.
-
-A plain difference of running doubles loses digits once a large value has passed
-through. Each value is therefore split into an exact integer multiple of a power of two
-(summed as BIGINT, no rounding) and a remainder below that power, whose rounding error is
-some 2^-66 of the largest value in the group.
+  is rows x frame length. Right for short frames, and the yardstick for the others.
+* ``running``, at a cost that does not depend on the frame length:
+
+  * Sums and means are differences of two running totals. A plain difference of doubles
+    loses digits once a large value has passed through, so each value is split into an
+    exact integer multiple of a power of two (summed as BIGINT, no rounding) and a
+    remainder below that power, whose rounding error is some 2^-66 of the largest value
+    in the group.
+  * Deviations cannot be differenced safely. Rows are cut into blocks as long as the
+    frame, so that a frame is the end of one block and the beginning of the next, and the
+    moments of both are merged: rows outside the frame never enter.
 """
 
 from __future__ import annotations
@@ -28,7 +31,6 @@ SHORT_FRAME = 64
 
 _WHOLE = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
 _RUNNING = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-_BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
 @dataclass(frozen=True)
@@ -73,10 +75,12 @@ def rolling(
 
     `keys` must keep groups bounded: a group is one task's work.
     """
-    if method not in ("auto", "frame", "prefix"):
+    if method not in ("auto", "frame", "running"):
         raise ValueError(f"unknown method: {method}")
     if reach and (method == "frame" or order[0] != reach.day):
-        raise ValueError("a reach needs the prefix method and its day first in the ordering")
+        raise ValueError("a reach needs running totals and its day first in the ordering")
+    if reach and any(r.how == "std" for r in rolls):
+        raise ValueError("deviations know no reach")
     partition = "PARTITION BY " + ", ".join(f"`{k}`" for k in keys)
     over = f"{partition} ORDER BY " + ", ".join(f"`{o}`" for o in order)
 
@@ -85,20 +89,27 @@ def rolling(
             return False
         return method == "frame" or r.how == "lag" or (method == "auto" and r.rows <= SHORT_FRAME)
 
+    deviating = {(r.col, r.rows) for r in rolls if r.how == "std" and not is_framed(r)}
     short = [r for r in rolls if is_framed(r)]
-    long = [r for r in rolls if not is_framed(r)]
+    blocked = [r for r in rolls if (r.col, r.rows) in deviating and r.how in ("mean", "std")]
+    summed = [r for r in rolls if r not in short and r not in blocked]
     columns = [f"`{c}`" for c in df.columns]
     masked = {c: f"_x{i}" for i, c in enumerate(dict.fromkeys(r.col for r in rolls))}
     df = df.selectExpr(
         "*",
-        *[f"CASE WHEN abs(`{c}`) < double('infinity') THEN `{c}` END AS {x}" for c, x in masked.items()],
+        *[
+            f"CASE WHEN abs(`{c}`) < double('infinity') THEN `{c}` END AS {x}"
+            for c, x in masked.items()
+        ],
     )
-    # The short frames ride along in the first Window operator of the prefix method.
+    # The short frames ride along in the first Window operator of the totals.
     framed = [f"{_framed(r, masked[r.col], over)} AS `{r.out}`" for r in short]
-    if long:
-        df = _prefixed(df, long, masked, over, partition, framed, reach)
+    if summed:
+        df = _totalled(df, summed, masked, over, partition, framed, reach)
     else:
         df = df.selectExpr("*", *framed)
+    for rows in dict.fromkeys(r.rows for r in blocked):
+        df = _blocked(df, [r for r in blocked if r.rows == rows], masked, over, partition)
     return df.selectExpr(*columns, *[f"`{r.out}`" for r in rolls])
 
 
@@ -133,13 +144,7 @@ def _framed(roll: Roll, x: str, over: str) -> str:
     return f"CASE WHEN count({x}) OVER {frame} >= {roll.min_obs} THEN {agg}({x}) OVER {frame} END"
 
 
-def _terms_of(roll: Roll, masked: dict) -> list[str]:
-    """What has to be totalled: the values, or centred values and their squares."""
-    x = masked[roll.col]
-    return {"std": [f"{x}d", f"{x}dd"], "lag": []}.get(roll.how, [x])
-
-
-def _prefixed(
+def _totalled(
     df: DataFrame,
     rolls: Sequence[Roll],
     masked: dict,
@@ -148,61 +153,40 @@ def _prefixed(
     framed: Sequence[str],
     reach: Reach | None,
 ) -> DataFrame:
-    summed = list(dict.fromkeys(masked[r.col] for r in rolls if r.how != "lag"))
-    stds = list(dict.fromkeys(masked[r.col] for r in rolls if r.how == "std"))
-    exponents = {}
-    for roll in rolls:
-        for term in _terms_of(roll, masked):
-            x = masked[roll.col]
-            scale = {f"{x}d": f"{x}_exp + 1", f"{x}dd": f"2 * {x}_exp + 2"}
-            exponents[term] = scale.get(term, f"{x}_exp")
-
-    # 1. The scale of each column in its group, and what a deviation needs besides.
+    """Sums, means and lags as differences of running totals."""
+    cols = list(dict.fromkeys(masked[r.col] for r in rolls if r.how != "lag"))
+
+    # 1. The scale of each column in its group: the power of two to split by.
     df = df.selectExpr(
-        "*",
-        *framed,
-        *[f"max(abs({x})) OVER ({over} {_WHOLE}) AS {x}_max" for x in summed],
-        *[f"avg({x}) OVER ({over} {_WHOLE}) AS {x}_mid" for x in stds],
-        *[f"last({x}, true) OVER ({over} {_BEFORE}) AS {x}_prev" for x in stds],
-    ).selectExpr(
-        "*",
-        *[f"coalesce(int(ceil(log2(nullif({x}_max, 0D)))), 0) AS {x}_exp" for x in summed],
-        *[f"{x} - {x}_mid AS {x}d" for x in stds],
-        *[f"({x} - {x}_mid) * ({x} - {x}_mid) AS {x}dd" for x in stds],
+        "*", *framed, *[f"max(abs({x})) OVER ({over} {_WHOLE}) AS {x}_max" for x in cols]
     )
-
-    # 2. Split into multiples and remainders, and total both.
+    exponent = "int(ceil(log2(nullif({x}_max, 0D))))"
+    power = f"pow(2D, greatest(least({exponent}, 1020) - {_SPLIT_BITS}, -1000))"
+    df = df.selectExpr("*", *[f"{power.format(x=x)} AS {x}_q" for x in cols])
     df = df.selectExpr(
-        "*",
-        *[
-            f"pow(2D, greatest(least({e}, 1020) - {_SPLIT_BITS}, -1000)) AS {t}_q"
-            for t, e in exponents.items()
-        ],
-    ).selectExpr("*", *[f"bigint(floor(coalesce({t}, 0D) / {t}_q)) AS {t}_mult" for t in exponents])
-    parts = {f"{t}_hi": f"{t}_mult" for t in exponents}
-    parts |= {f"{t}_lo": f"coalesce({t}, 0D) - {t}_mult * {t}_q" for t in exponents}
-    steps = {total: f"sum({part})" for total, part in parts.items()}
-    steps |= {f"{x}_n": f"count({x})" for x in summed}
+        "*", *[f"bigint(floor(coalesce({x}, 0D) / {x}_q)) AS {x}_mult" for x in cols]
+    )
+
+    # 2. Total the multiples, the remainders and the observations.
+    steps = {}
+    for x in cols:
+        steps[f"{x}_hi"] = f"sum({x}_mult)"
+        steps[f"{x}_lo"] = f"sum(coalesce({x}, 0D) - {x}_mult * {x}_q)"
+        steps[f"{x}_n"] = f"count({x})"
     df = df.selectExpr(
         "*", *[f"{step} OVER ({over} {_RUNNING}) AS {total}" for total, step in steps.items()]
     )
 
     # 3. The totals where each frame begins: so many rows back, but within reach.
     wanted = {
-        (total, r.rows)
+        (f"{masked[r.col]}_{part}", r.rows)
         for r in rolls
         if r.how != "lag"
-        for total in [f"{masked[r.col]}_n"]
-        + [f"{t}_{half}" for t in _terms_of(r, masked) for half in ("hi", "lo")]
+        for part in ("hi", "lo", "n")
     }
-    lags = [(masked[r.col], r.rows) for r in rolls if r.how == "lag"]
+    lags = {(masked[r.col], r.rows) for r in rolls if r.how == "lag"}
     back = [f"lag({c}, {w}, 0) OVER ({over}) AS {c}{w}" for c, w in sorted(wanted)]
-    back += [f"lag({x}, {w}) OVER ({over}) AS {x}_lag{w}" for x, w in sorted(set(lags))]
-    since = [
-        f"max(CASE WHEN {x} IS NOT NULL AND NOT {x} <=> {x}_prev THEN {x}_n END) "
-        f"OVER ({over} {_RUNNING}) AS {x}_since"
-        for x in stds
-    ]
+    back += [f"lag({x}, {w}) OVER ({over}) AS {x}_lag{w}" for x, w in sorted(lags)]
     begin = {(c, w): f"{c}{w}" for c, w in wanted}
     if reach:
         beyond = (
@@ -218,31 +202,78 @@ def _prefixed(
             f"count(1) OVER {beyond} AS _row_edge",
             *[f"{step} OVER {beyond} AS {total}_edge" for total, step in steps.items()],
         )
-    df = df.selectExpr("*", *back, *since)
-    return df.selectExpr(
-        "*", *[f"{_differenced(r, masked[r.col], begin, reach)} AS `{r.out}`" for r in rolls]
-    )
+    df = df.selectExpr("*", *back)
 
+    def of(roll: Roll) -> str:
+        x, w = masked[roll.col], roll.rows
+        if roll.how == "lag":
+            seen = f"CASE WHEN _row - {w} > _row_edge THEN {x}_lag{w} END"
+            return seen if reach else f"{x}_lag{w}"
+        hi, lo, n = (f"({c} - {begin[c, w]})" for c in (f"{x}_hi", f"{x}_lo", f"{x}_n"))
+        total = f"({hi} * {x}_q + {lo})"
+        out = f"{total} / {n}" if roll.how == "mean" else total
+        return f"CASE WHEN {n} >= {roll.min_obs} THEN {out} END"
 
-def _differenced(roll: Roll, x: str, begin: dict, reach: Reach | None) -> str:
-    w = roll.rows
-    if roll.how == "lag":
-        return f"CASE WHEN _row - {w} > _row_edge THEN {x}_lag{w} END" if reach else f"{x}_lag{w}"
+    return df.selectExpr("*", *[f"{of(r)} AS `{r.out}`" for r in rolls])
+
+
+def _blocked(
+    df: DataFrame, rolls: Sequence[Roll], masked: dict, over: str, partition: str
+) -> DataFrame:
+    """Deviations (and means of the same frames) from the moments of two part frames.
+
+    All rolls have the same length. The last ordering is by block and row, which the
+    operators after it share.
+    """
+    rows = rolls[0].rows
+    cols = list(dict.fromkeys(masked[r.col] for r in rolls))
+    moments = {"n": "count", "mid": "avg", "var": "var_pop", "min": "min", "max": "max"}
 
-    def over_frame(t: str) -> str:
-        hi, lo = f"{t}_hi", f"{t}_lo"
-        return f"(({hi} - {begin[hi, w]}) * {t}_q + ({lo} - {begin[lo, w]}))"
+    def part_frame(side: str, order: str) -> list[str]:
+        w = f"{partition}, _block ORDER BY _rn {order} {_RUNNING}"
+        return [f"{f}({x}) OVER ({w}) AS {x}_{side}{m}" for x in cols for m, f in moments.items()]
 
-    n = f"({x}_n - {begin[f'{x}_n', w]})"
-    if roll.how == "sum":
-        out = over_frame(x)
-    elif roll.how == "mean":
-        out = f"{over_frame(x)} / {n}"
+    df = df.selectExpr("*", f"row_number() OVER ({over}) AS _rn").selectExpr(
+        "*", f"(_rn - 1) DIV {rows} AS _block"
+    )
+    df = df.selectExpr("*", *part_frame("t", "DESC")).selectExpr("*", *part_frame("h", "ASC"))
+    if rows > 1:
+        by_row = f"{partition} ORDER BY _block, _rn"
+        # A frame that ends with its block is the block, head alone.
+        df = df.selectExpr(
+            "*",
+            *[
+                f"CASE WHEN _rn % {rows} <> 0 THEN "
+                f"lag({x}_t{m}, {rows - 1}) OVER ({by_row}) END AS {x}_o{m}"
+                for x in cols
+                for m in moments
+            ],
+        )
     else:
-        total, squares = over_frame(f"{x}d"), over_frame(f"{x}dd")
-        # All observations of the frame being equal must give 0, not rounding noise.
-        out = (
-            f"CASE WHEN {n} = 1 THEN NULL WHEN {x}_n - {x}_since + 1 >= {n} THEN 0D "
-            f"ELSE sqrt(greatest({squares} - {total} * {total} / {n}, 0D) / ({n} - 1)) END"
+        df = df.selectExpr("*", *[f"NULL AS {x}_o{m}" for x in cols for m in moments])
+
+    def of(roll: Roll) -> str:
+        x = masked[roll.col]
+        old, new = f"coalesce({x}_on, 0)", f"{x}_hn"
+        n = f"({old} + {new})"
+        mean = (
+            f"(coalesce({x}_omid, 0D) * {old} + coalesce({x}_hmid, 0D) * {new}) / {n}"
         )
-    return f"CASE WHEN {n} >= {roll.min_obs} THEN {out} END"
+        if roll.how == "mean":
+            out = mean
+        else:
+            # All observations being equal must give 0, not rounding noise.
+            squares = (
+                f"coalesce({x}_ovar, 0D) * {old} + coalesce({x}_hvar, 0D) * {new} + "
+                f"coalesce(pow({x}_omid - {x}_hmid, 2), 0D) * ({old} * 1D * {new} / {n})"
+            )
+            same = f"least({x}_omin, {x}_hmin) = greatest({x}_omax, {x}_hmax)"
+            out = (
+                f"CASE WHEN {n} = 1 THEN NULL WHEN {same} THEN 0D "
+                f"ELSE sqrt(({squares}) / ({n} - 1)) END"
+            )
+        return f"CASE WHEN {n} >= {roll.min_obs} THEN {out} END"
+
+    return df.selectExpr("*", *[f"{of(r)} AS `{r.out}`" for r in rolls]).drop(
+        "_rn", "_block", *[f"{x}_{side}{m}" for x in cols for side in "tho" for m in moments]
+    )
