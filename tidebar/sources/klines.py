@@ -333,7 +333,7 @@ def _load(
     hive_symbol = head is None or head.endswith("/symbol=")
     if kind in (1, 2) and hive_symbol:
         name = {1: "date", 2: "dt"}[kind]
-        schema = T.StructType(fields).add(name, T.DateType())
+        schema = T.StructType(list(fields)).add(name, T.DateType())
         base = archive.root.rstrip("/")
         if head is not None:
             schema = schema.add("symbol", T.StringType())
