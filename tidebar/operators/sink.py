@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Empty days are tiny jobs of their own, which Spark runs side by side.
+_CONCURRENT_WRITES = 8
+
+
 def write_daily(df: DataFrame, out: str, clustered: bool = False) -> None:
     """Write `df` (with `symbol`, `date`, `ts`) as one file per symbol and day.
 
@@ -24,11 +30,19 @@ def write_daily(df: DataFrame, out: str, clustered: bool = False) -> None:
     )
 
 
-def write_empty_day(spark: SparkSession, schema: str, out: str, symbol: str, day: date) -> None:
-    """Replace a key by an empty file: dynamic overwrite leaves keys without rows as they
+def write_empty_days(
+    spark: SparkSession, schema: str, out: str, keys: Iterable[tuple[str, date]]
+) -> None:
+    """Replace keys by empty files: dynamic overwrite leaves keys without rows as they
     are, which would keep what an earlier run wrote."""
     empty = spark.createDataFrame([], schema).drop("symbol", "date").coalesce(1)
-    empty.write.mode("overwrite").parquet(day_path(out, symbol, day))
+
+    def write(key: tuple[str, date]) -> None:
+        empty.write.mode("overwrite").parquet(day_path(out, *key))
+
+    with ThreadPoolExecutor(_CONCURRENT_WRITES) as pool:
+        for _ in pool.map(write, keys):
+            pass
 
 
 def day_path(out: str, symbol: str, day: date) -> str:

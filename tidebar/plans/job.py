@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidebar.operators.bars import day_bars
 from tidebar.operators.features import daily_regime_features
 from tidebar.operators.report import day_outcomes, requested_days, rows_per_day
-from tidebar.operators.sink import write_daily, write_empty_day
+from tidebar.operators.sink import write_daily, write_empty_days
 from tidebar.schema import BAR_SCHEMA, FEATURE_SCHEMA, RegimeSpec
 from tidebar.session import drop_path, materialize, scratch_dir, use_utc
 from tidebar.sources.calendar import as_date, calendar
@@ -69,11 +69,12 @@ def run_regime_features(
         wanted, _ = _without(wanted.withColumnRenamed("source_day", "date"), failed, n_failed)
         write_daily(wanted, out_bars)
 
-    for row in report.where("status = 'ok' AND n_feat_rows = 0").toLocalIterator():
-        write_empty_day(spark, FEATURE_SCHEMA, out_features, row.symbol, row.day)
-        if out_bars:
-            bar_schema = BAR_SCHEMA.replace("source_day", "date")
-            write_empty_day(spark, bar_schema, out_bars, row.symbol, row.day)
+    empty = report.where("status = 'ok' AND n_feat_rows = 0").select("symbol", "day")
+    keys = [(r.symbol, r.day) for r in empty.toLocalIterator()]
+    write_empty_days(spark, FEATURE_SCHEMA, out_features, keys)
+    if out_bars:
+        bar_schema = BAR_SCHEMA.replace("source_day", "date")
+        write_empty_days(spark, bar_schema, out_bars, keys)
     drop_path(spark, work)
     return report
 

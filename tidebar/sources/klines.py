@@ -22,6 +22,7 @@ from tidebar.session import materialize, use_utc
 from tidebar.sources.footers import KNOWN_COLS, read_footers
 from tidebar.sources.layout import SYMBOL, day_files, day_glob, pick_layout, root_pattern
 from tidebar.sources.normalize import (
+    MISSING_MESSAGE,
     NO_TIME_MESSAGE,
     instant_of,
     is_epoch,
@@ -77,56 +78,40 @@ def scan_klines(
     inputs = footers.groupBy(*DAY).agg(
         F.count("*").alias("n_files"), F.sum("n_rows").alias("n_rows")
     )
-    readable = _with_picks(footers)
-    modes = materialize(_time_modes(archive, readable), f"{scratch}/time_modes")
-
-    missing = F.array_compact(
-        F.array(
-            *[F.when(~F.col(f"has_{c}"), F.lit(c)) for c in PRICE_COLS],
-            F.when(F.col("volume_col").isNull(), F.lit("volume")),
-        )
-    )
-    verdict = (
-        readable.groupBy(*DAY)
-        .agg(F.any_value(missing).alias("_missing"))
-        .join(modes, DAY)
-        .select(
-            *DAY,
-            "mode",
-            F.when(F.col("mode") == "none", NO_TIME_MESSAGE)
-            .when(
-                F.size("_missing") > 0,
-                F.concat(F.lit("missing required columns: "), F.array_join("_missing", ", ")),
-            )
-            .alias("error"),
-        )
+    readable = materialize(_with_picks(footers), f"{scratch}/readable")
+    error = F.when(F.col("mode") == "none", NO_TIME_MESSAGE).when(
+        F.col("missing") != "", F.concat(F.lit(MISSING_MESSAGE), "missing")
     )
-    rejected = verdict.where("error IS NOT NULL").select(*DAY, "error")
-    good = readable.join(verdict.where("error IS NULL").select(*DAY, "mode"), DAY)
-    return KlineScan(_read_ticks(archive, good), inputs, rejected)
+    judged = readable.join(_time_modes(archive, readable), DAY).withColumn("error", error)
+    judged = materialize(judged, f"{scratch}/judged")
+    rejected = judged.where("error IS NOT NULL").select(*DAY, "error").distinct()
+    return KlineScan(_read_ticks(archive, judged.where("error IS NULL")), inputs, rejected)
 
 
 def _with_picks(footers: DataFrame) -> DataFrame:
-    """Add each day's column picks to its files, leaving out days without rows.
+    """Add each day's column picks and missing columns to its files, leaving out days
+    without rows.
 
     Presence counts per day: a name that any file of the day carries is present.
     """
-    has = {c: F.bool_or(F.array_contains("cols.name", c)) for c in KNOWN_COLS}
 
     def first_present(names):
         return F.coalesce(*[F.when(F.col(f"has_{n}"), F.lit(n)) for n in names])
 
+    has = [F.bool_or(F.array_contains("cols.name", c)).alias(f"has_{c}") for c in KNOWN_COLS]
+    lacking = [F.when(~F.col(f"has_{c}"), F.lit(c)) for c in PRICE_COLS]
+    lacking.append(F.when(first_present(VOLUME_ALIASES).isNull(), F.lit("volume")))
     days = (
         footers.groupBy(*DAY)
-        .agg(F.sum("n_rows").alias("_rows"), *[e.alias(f"has_{c}") for c, e in has.items()])
+        .agg(F.sum("n_rows").alias("_rows"), *has)
         .where("_rows > 0")
         .select(
             *DAY,
             "has_ts",
-            *[f"has_{c}" for c in PRICE_COLS],
             first_present(TIME_ALIASES).alias("alt_col"),
             first_present(VOLUME_ALIASES).alias("volume_col"),
             first_present(TAKER_ALIASES).alias("taker_col"),
+            F.concat_ws(", ", *lacking).alias("missing"),
         )
     )
     return footers.where("n_rows > 0").join(days, DAY)
@@ -262,7 +247,7 @@ def _read_groups(archive: _Archive, files: DataFrame, by: list[str], shape) -> D
         F.array_join(F.array_sort(described), ",").alias("types"),
     ]
     names = ["kind", "alt_col", "volume_col", "taker_col", *by, "types"]
-    keyed = files.select("path", "dir", *DAY, *key).persist()
+    keyed = files.select("path", "dir", *DAY, *key)
     groups = (
         keyed.groupBy(*names)
         .agg(F.min("path").alias("sample"), F.count("*").alias("n_files"))
@@ -283,7 +268,6 @@ def _read_groups(archive: _Archive, files: DataFrame, by: list[str], shape) -> D
         mine = None if group in whole else paths[tuple(group[n] for n in names)]
         raw = _load(archive, group.kind, fields, mine)
         pieces.append(shape(raw, group, {f.name: f.dataType for f in fields}))
-    keyed.unpersist()
     if not pieces:
         return None
     out = pieces[0]

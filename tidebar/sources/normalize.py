@@ -33,10 +33,7 @@ def missing_columns(present: Sequence[str]) -> list[str]:
     return missing if pick_alias(present, VOLUME_ALIASES) else [*missing, "volume"]
 
 
-def missing_message(missing: Sequence[str]) -> str:
-    return f"missing required columns: {', '.join(missing)}"
-
-
+MISSING_MESSAGE = "missing required columns: "
 NO_TIME_MESSAGE = "no timestamp column found"
 
 
@@ -108,7 +105,7 @@ def normalize(raw: DataFrame) -> DataFrame:
     if alt is None and "ts" not in dtypes:
         raise ValueError(NO_TIME_MESSAGE)
     if missing := missing_columns(dtypes):
-        raise ValueError(missing_message(missing))
+        raise ValueError(MISSING_MESSAGE + ", ".join(missing))
 
     ts = parse_instant(F.col("ts"), dtypes["ts"]) if "ts" in dtypes else None
     epoch = F.col(alt) if alt and is_epoch(dtypes[alt]) else None
