@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from tidebar.plans.queries import BAD_DAY, BY_TYPE, DENSITY, GAP_DAY, number_text_sql
+from tidebar.plans.queries import (
+    BAD_DAY,
+    BY_TYPE,
+    DENSITY,
+    FILE_SPLITS,
+    GAP_DAY,
+    number_text_sql,
+)
 from tidebar.schema import FEATURE_COLS, RegimeSpec
 
 _PRICE = "value + 1.0"
@@ -116,8 +123,8 @@ _ARCHIVE_TICKS = _ticks(
 
 _ARCHIVE_DAYS = f"""
 files AS (
-  SELECT {_DAY} AS day, count(DISTINCT CASE WHEN {_D} % 5 IN (0, 4) AND {_D} <> {BAD_DAY}
-    THEN hour(ts) // 12 ELSE 0 END) AS n_files
+  SELECT {_DAY} AS day, count(DISTINCT event_id % {FILE_SPLITS} + {FILE_SPLITS} *
+    CASE WHEN {_D} % 5 IN (0, 4) AND {_D} <> {BAD_DAY} THEN hour(ts) // 12 ELSE 0 END) AS n_files
   FROM events WHERE {_D} <> {GAP_DAY} GROUP BY 1)"""
 
 _COVERAGE = """

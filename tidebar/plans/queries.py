@@ -380,6 +380,7 @@ _ARCHIVES: dict[tuple[str, str], str] = {}
 
 # Days of the month that the archive leaves out, or writes without `close`.
 GAP_DAY, BAD_DAY = 22, 13
+FILE_SPLITS = 4
 
 
 def kline_archive(spark: SparkSession, sf: str) -> str:
@@ -393,8 +394,15 @@ def kline_archive(spark: SparkSession, sf: str) -> str:
     if key in _ARCHIVES:
         return _ARCHIVES[key]
     out = scratch_dir(spark, "archive")
-    events = _events(spark, sf).where(f"day(ts) <> {GAP_DAY}")
-    events = events.selectExpr(
+    events = _events(spark, sf)
+    first, last = _day_range(events)
+    # A day is split over several tasks, each of which gives one file per folder. A write
+    # covers every fifth day.
+    split = F.expr(
+        f"(datediff(date, DATE'{first}') DIV 5) * {FILE_SPLITS} + event_id % {FILE_SPLITS}"
+    ).cast("int")
+    n_splits = ((last - first).days // 5 + 1) * FILE_SPLITS
+    events = events.where(f"day(ts) <> {GAP_DAY}").selectExpr(
         "*", "cast(ts AS date) AS date", "cast(ts AS date) AS dt", "hour(ts) DIV 12 AS h"
     )
     prices = [c.replace(_PRICE, f"CAST({_PRICE} AS string)") for c in _RAW_PRICES]
@@ -402,7 +410,7 @@ def kline_archive(spark: SparkSession, sf: str) -> str:
     taker = f"{_TAKER} AS taker_buy_base_asset_volume"
 
     def write(when: str, cols: list[str], *parts: str) -> None:
-        rows = events.where(when).selectExpr(*cols, *parts).repartition(*parts)
+        rows = events.where(when).repartitionById(n_splits, split).selectExpr(*cols, *parts)
         rows.write.partitionBy(*parts).mode("append").parquet(out)
 
     good = f"day(ts) % 5 = {{}} AND day(ts) <> {BAD_DAY}"
