@@ -27,8 +27,7 @@ def root_pattern(root: str) -> str:
     """Regex for what lies between a path's scheme and its daily folder; the `{symbol}`
     of a root becomes a group."""
     plain = re.sub(r"^[A-Za-z][\w+.-]*:/*", "", root).strip("/")
-    parts = [re.escape(p) for p in plain.split(SYMBOL)]
-    return "(?:^|/)" + "([^/]+)".join(parts[:2] + ["[^/]+".join(parts[2:])] if parts[2:] else parts)
+    return "(?:^|/)" + "([^/]+)".join(map(re.escape, plain.split(SYMBOL)))
 
 
 def day_glob(root: str, symbols: list[str], start: date, end: date, prefixes: str) -> str:
