@@ -3,7 +3,9 @@
 import pytest
 from check_oracles import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tidebar.plans.oracles import oracle_sql
+from tidebar.plans.queries import queries
 
 SF = "/root/testdata/sf0.001"
 
