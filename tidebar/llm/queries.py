@@ -5,20 +5,63 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidebar.llm.decontaminate import find_items
+from tidebar.llm.language_id import identify
 from tidebar.llm.minhash import near_duplicates
+from tidebar.llm.pieces import decode, encode
+from tidebar.llm.token_counts import token_counts
+from tidebar.session import scratch_dir
+
+
+def piece_model() -> str:
+    """The path of the tokenizer that queries use, as its package gives it on each machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and whether decoding them gives the text again."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decode(encode(docs, piece_model()), piece_model())
+    plain = F.translate(F.coalesce("text", F.lit("")), "▁", " ")
+    return out.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        "token_ids",
+        (F.col("decoded") == plain).alias("round_trip"),
+    )
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return token_counts(docs, piece_model(), scratch_dir(spark, "token-counts"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_sentencepiece": op3_sentencepiece,
+        "op6_benchmark_decontamination": op6_benchmark_decontamination,
+        "op7_language_id": op7_language_id,
+        "op8_token_counts": op8_token_counts,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
 
