@@ -1,12 +1,69 @@
-"""The corpus pipeline: language ID, near-dedup, decontamination, tokenization."""
+"""The corpus pipeline: language ID, near-dedup, decontamination, tokenization.
+
+Each stage takes (spark, docs, sf_dir), works on all of `docs` and returns a table that is
+written and reread as the next one's `docs`. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidebar.llm.decontaminate import without_items
+from tidebar.llm.language_id import NO_LANGUAGE, fit, predict
+from tidebar.llm.minhash import near_duplicates
+from tidebar.llm.pieces import encode
+from tidebar.llm.queries import piece_model
+from tidebar.session import materialize, scratch_dir
+
+#: Documents whose best language scores less are rejected, as are those without one.
+LEAST_SCORE = 0.2
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the model knows; it learns from the labels of `docs`."""
+    marked = predict(docs, fit(docs))
+    known = marked.where((F.col("lang_pred") != NO_LANGUAGE) & (F.col("score") >= LEAST_SCORE))
+    return known.drop("lang_pred", "score")
+
+
+def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of each group of near duplicates.
+
+    Groups are linked by 0.8 of five-word shingles or more. Of rows with equal id and text
+    one stays; documents with a null id stay.
+    """
+    gone = near_duplicates(docs, percent=80).where(~F.col("kept")).select("doc_id").distinct()
+    rest = docs.join(gone, "doc_id", "left_anti")
+    return rest.where("doc_id is null").unionByName(
+        rest.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    )
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, as `without_items` finds them."""
+    return without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their SentencePiece ids as column token_ids."""
+    return encode(docs, piece_model())
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("minhash_dedup", minhash_dedup),
+    ("decontaminate", decontaminate),
+    ("sentencepiece", tokenize),
+]
 
-STAGES: list = []
+#: Kernels, MinHash, edit distances and pieces are beyond SQL; tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's table over `documents`; the others' are written to the shared folder."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), scratch_dir(spark, name))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidebar.llm.chat import ASSISTANT, USER, as_events, masked, messages, parse, render
 from tidebar.llm.decontaminate import find_items
+from tidebar.llm.html_text import extract
 from tidebar.llm.language_id import identify
+from tidebar.llm.licenses import scan
 from tidebar.llm.minhash import near_duplicates
 from tidebar.llm.pieces import decode, encode
 from tidebar.llm.token_counts import token_counts
+from tidebar.llm.topk import quantized, top_k
+from tidebar.llm.warc import digest_column, read_warc, write_pages
 from tidebar.session import scratch_dir
 
 
@@ -26,6 +31,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    vectors = vectors.select(F.col("vec_id").cast("long"), quantized(F.col("embedding")).alias("vector"))
+    asked = vectors.where(F.col("vec_id") % 20 == 0).withColumnRenamed("vec_id", "query_id")
+    return top_k(asked, vectors, 20)
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages archived, then read back; sizes and digests of responses are of what was read."""
+    path = scratch_dir(spark, "warc")
+    write_pages(_table(spark, sf_dir, "pages"), path)
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
+    found = read_warc(spark, path, columns)
+    response = F.col("record_type") == "response"
+    return found.select(
+        "page_id",
+        F.when(response, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(response, digest_column(F.col("payload"))).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and whether decoding them gives the text again."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -39,6 +67,33 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(_table(spark, sf_dir, "documents"))
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations formatted, and what the formatted text alone gives back."""
+    talks = _table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"
+    )
+    odd = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, USER, odd), (-7, 1, ASSISTANT, odd)], talks.schema)
+    out = render(messages(as_events(talks.unionByName(extra))))
+    turns = parse(F.col("formatted"))
+    line = F.array_join(
+        F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
+    )
+    learned = masked(F.col("formatted"), F.col("loss"))
+    return out.select(
+        "conv_id",
+        F.size(turns).cast("long").alias("n_turns"),
+        F.sha2(line, 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -52,19 +107,83 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, piece_model(), scratch_dir(spark, "token-counts"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_exact_top_k": op1_exact_top_k,
+        "op2_warc": op2_warc,
         "op3_sentencepiece": op3_sentencepiece,
+        "op4_license_scan": op4_license_scan,
+        "op5_chat_format": op5_chat_format,
         "op6_benchmark_decontamination": op6_benchmark_decontamination,
         "op7_language_id": op7_language_id,
         "op8_token_counts": op8_token_counts,
+        "op9_html_extraction": op9_html_extraction,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_exact_top_k": _TOP_K, "op2_warc": _warc_sql(), "op5_chat_format": _chat_sql()}
+
+
+_TOP_K = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_inner_product(CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
+FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 20
+"""
+
+
+def _warc_sql() -> str:
+    letter = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((p{part} >> {shift}) & 31), 1)"
+    digest = " || ".join(
+        letter.format(part=part, shift=35 - 5 * i) for part in range(4) for i in range(8)
+    )
+    parts = ", ".join(f"CAST('0x' || substr(x, {1 + 10 * i}, 10) AS BIGINT) AS p{i}" for i in range(4))
+    return f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS x FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY x) AS first_id, {parts} FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {digest} AS payload_digest,
+    CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
+def _chat_sql() -> str:
+    pattern = r"([<\[])(\\*/?(?:s>|ROLE\]|INST\]))"
+    escaped = rf"regexp_replace({{0}}, '{pattern}', '\1\\\2', 'g')"
+    size = " + ".join(f"length({escaped.format(c)})" for c in ("role", "text"))
+    return f"""
+WITH m AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), g AS (
+    SELECT conv_id, count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+        coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+        3 + sum(13 + 4 + {size} + CASE WHEN role = 'user' THEN 15 ELSE 0 END) AS n
+    FROM m GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
+    sha256(loss) AS loss_sha256, CAST(n AS BIGINT) AS formatted_chars
+FROM g
+"""

@@ -207,18 +207,20 @@ def records(stream, gzipped: bool, wanted, payloads: bool) -> Iterator[dict]:
     while base < size:
         stream.seek(base)
         member = _Member(stream, base, gzipped)
-        held = b""
-        while (at := held.find(b"\r\n\r\n")) < 0:
+        held, lead, at = b"", 0, -1
+        while at < 0:
             got = member.read(1 << 12)
             if not got:
                 break
             held += got
+            lead = len(held) - len(held.lstrip(b"\r\n"))  # what ends the record before
+            at = held.find(b"\r\n\r\n", lead)
         if at < 0:
             if held.strip():
                 raise ValueError(f"no WARC header at byte {base}")
             base = member.end(base + max(1, len(held)))
             continue
-        block = held[:at].lstrip(b"\r\n")
+        block = held[lead:at]
         if not block.startswith(b"WARC/"):
             raise ValueError(f"no WARC header at byte {base}")
         fields = _headers(block)
@@ -316,6 +318,12 @@ def digest_column(payload):
     return F.translate(F.concat(*parts), digits, letters)
 
 
+def _uuid(name):
+    """A UUID from the MD5 of a name, the same when a task runs again."""
+    pattern = "^(.{8})(.{4})(.{4})(.{4})(.{12})$"
+    return F.regexp_replace(F.md5(name.cast("binary")), pattern, "$1-$2-$3-$4-$5")
+
+
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcDataSource)
 
@@ -339,7 +347,9 @@ def page_records(pages: DataFrame) -> DataFrame:
     revisit = ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return own.join(first, "payload_digest").select(
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.concat(F.lit("<urn:uuid:"), F.expr("uuid()"), F.lit(">")).alias("record_id"),
+        F.concat(F.lit("<urn:uuid:"), _uuid(F.concat_ws(" ", "page_id", "target_uri", "payload_digest")), F.lit(">")).alias(
+            "record_id"
+        ),
         "target_uri",
         F.lit("1970-01-01T00:00:00Z").alias("date"),
         "page_id",
@@ -357,8 +367,13 @@ def write_pages(pages: DataFrame, path: str) -> None:
 
 
 def read_warc(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """The records of an archive; without `payload` among `columns` no payload is inflated."""
+    """The records of an archive; without `payload` among `columns` no payload is inflated.
+
+    Spark hands filters to Python sources only with the setting below, which it reads when the
+    result is planned, so it stays on in this session.
+    """
     register(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     reader = spark.read.format("warc")
     if columns:
         types = dict(c.split() for c in SCHEMA.split(", "))
