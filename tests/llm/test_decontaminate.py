@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidebar.llm import decontaminate
-from tidebar.llm.decontaminate import find_items, myers, normal, pieces, without_items
+from tidebar.llm.decontaminate import RATIO, find_items, myers, normal, pieces, without_items
 
 
 def sellers(pattern, text, most):
@@ -64,7 +64,7 @@ def test_all_near_passages_are_found(spark, monkeypatch, block):
     for key, text in docs:
         for item, passage in items:
             p, t = normal(passage), normal(text)
-            if item is not None and p and t and (hit := sellers(p, t, int(len(p) * 0.1))):
+            if item is not None and p and t and (hit := sellers(p, t, int(len(p) * RATIO))):
                 want.append((key, item, *hit))
     d = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, item_id int, `a.b` string").repartition(3)
     b = spark.createDataFrame(items, "item_id int, text string")

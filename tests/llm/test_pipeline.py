@@ -6,15 +6,15 @@ from test_decontaminate import sellers
 from test_minhash import components
 
 import corpus_pipeline
-from tidebar.llm.decontaminate import normal
+from tidebar.llm.decontaminate import RATIO, normal
 from tidebar.llm.language_id import fit, presence
 
 SF = "/root/testdata/sf0.001"
 
 
 def holds(text, item):
-    """Whether a stretch of text is within a tenth of an item's length; some piece of it must fit."""
-    most = int(len(item) * 0.1)
+    """Whether a stretch of text is within an item's budget; some piece of it must fit."""
+    most = int(len(item) * RATIO)
     size = len(item) // (most + 1)
     return any(item[i : i + size] in text for i in range(0, len(item) - size + 1)) and sellers(item, text, most)
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidebar.llm.frames import map_batches, place
 
-RATIO = 0.1
+RATIO = 0.07
 #: Characters of test items that tasks hold at once; larger benchmarks go in several passes.
 BLOCK_CHARS = 4_000_000
 
