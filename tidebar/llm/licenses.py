@@ -155,7 +155,8 @@ def _hits(words: str) -> str:
     return f"""
         flatten(transform(filter(rules, r -> contains({words}, r.keyword) AND {words} rlike r.pattern), r ->
             aggregate(
-                arrays_zip(split({words}, r.pattern, -1) AS gap, regexp_extract_all({words}, r.pattern, 0) AS hit),
+                zip_with(split({words}, r.pattern, -1), regexp_extract_all({words}, r.pattern, 0),
+                    (g, h) -> named_struct('gap', g, 'hit', h)),
                 named_struct('at', 0, 'all', cast(array() AS array<struct<a: int, b: int>>)),
                 (s, x) -> named_struct(
                     'at', s.at + length(x.gap) + coalesce(length(x.hit), 0),
