@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,7 @@ _END = 0xFF
 #: Units of more bytes are relaxed with a heap, since a round changes one place of a unit.
 _LONG = 48
 _PLACE = (1 << 24) - 1
+_ROWS = 256
 
 
 class Vocabulary:
@@ -264,22 +265,20 @@ class Encoder:
         self.ids, self.count = np.concatenate((self.ids, ids)), np.concatenate((self.count, count))
         self.start = np.cumsum(self.count) - self.count
 
-    def encode(self, texts: pa.Array) -> pa.ListArray:
-        """The token ids of each text; a null counts as empty."""
-        parts, lengths = [np.empty(0, np.int32)], []
-        for _, each in self.units.slices(texts):
+    def slices(self, texts: pa.Array) -> Iterator[tuple[int, pa.ListArray]]:
+        """(first row, token ids of each text) of some rows at a time; a null counts as empty."""
+        for row, each in self.units.slices(texts):
             numbers = np.concatenate(each)
             count = self.count[numbers]
-            parts.append(self.ids[_ranges(self.start[numbers], count)])
-            lengths += [int(self.count[n].sum()) for n in each]
-        ends = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64))).astype(np.int32)
-        return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(parts), pa.int32()))
+            ids = self.ids[_ranges(self.start[numbers], count)]
+            last = np.cumsum([len(n) for n in each])
+            ends = np.concatenate(([0], np.cumsum(count)))[np.concatenate(([0], last))]
+            yield row, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
 
 
 def decode_ids(vocab: Vocabulary, lists: pa.ListArray) -> pa.Array:
     """The text of each list of ids, without the space that encoding put in front."""
-    lists = lists.cast(pa.list_(pa.int32()))
-    ends = np.frombuffer(lists.buffers()[1], np.int32)[lists.offset : lists.offset + len(lists) + 1]
+    ends = lists.offsets.to_numpy()
     ids = lists.values.fill_null(vocab.unknown).to_numpy()[ends[0] : ends[-1]]
     ids = np.where((ids >= 0) & (ids < len(vocab.pieces)), ids, vocab.unknown)
     size = vocab.length[ids]
@@ -293,16 +292,7 @@ def decode_ids(vocab: Vocabulary, lists: pa.ListArray) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def _mapped(df: DataFrame, source: str, target: str, kind: T.DataType, worker) -> DataFrame:
-    """`df` with a column computed from another by Arrow batches; `worker` is made per task."""
-    at = place(df, source, (target,))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = worker()
-        for batch in batches:
-            yield appended(batch, work(batch.column(at)))
-
-    return map_batches(df, run, [T.StructField(target, kind)])
+_IDS = T.ArrayType(T.IntegerType())
 
 
 def encode(df: DataFrame, model: str, source: str = "text", target: str = "token_ids") -> DataFrame:
@@ -313,8 +303,15 @@ def encode(df: DataFrame, model: str, source: str = "text", target: str = "token
     without a piece become bytes. A null or empty text gives an empty array. All other
     columns and repeated rows are kept; a column named `target` is replaced.
     """
-    kind = T.ArrayType(T.IntegerType())
-    return _mapped(df, source, target, kind, lambda: Encoder(vocabulary(model)).encode)
+    at = place(df, source, (target,))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(vocabulary(model))
+        for batch in batches:
+            for row, ids in encoder.slices(batch.column(at)):
+                yield appended(batch.slice(row, len(ids)), ids)
+
+    return map_batches(df, run, [T.StructField(target, _IDS)])
 
 
 def decode(df: DataFrame, model: str, source: str = "token_ids", target: str = "decoded") -> DataFrame:
@@ -324,4 +321,28 @@ def decode(df: DataFrame, model: str, source: str = "token_ids", target: str = "
     give nothing; null ids inside an array and ids out of range give the unknown sign; bytes
     that are no UTF-8 give U+FFFD. A null array gives null, an empty one an empty text.
     """
-    return _mapped(df, source, target, T.StringType(), lambda: partial(decode_ids, vocabulary(model)))
+    at = place(df, source, (target,))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(row, _ROWS)
+                yield appended(part, decode_ids(vocabulary(model), part.column(at)))
+
+    return map_batches(df, run, [T.StructField(target, T.StringType())])
+
+
+def encode_and_decode(df: DataFrame, model: str, source: str = "text") -> DataFrame:
+    """`df` with token_ids and decoded as `encode` and `decode` give them, in one pass."""
+    added = [T.StructField("token_ids", _IDS), T.StructField("decoded", T.StringType())]
+    at = place(df, source, ("token_ids", "decoded"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(vocabulary(model))
+        for batch in batches:
+            for row, ids in encoder.slices(batch.column(at)):
+                part = batch.slice(row, len(ids))
+                texts = [decode_ids(encoder.vocab, ids.slice(i, _ROWS)) for i in range(0, len(ids), _ROWS)]
+                yield appended(part, ids, pa.concat_arrays(texts))
+
+    return map_batches(df, run, added)

@@ -13,7 +13,7 @@ from tidebar.llm.html_text import extract
 from tidebar.llm.language_id import identify
 from tidebar.llm.licenses import scan
 from tidebar.llm.minhash import near_duplicates
-from tidebar.llm.pieces import decode, encode
+from tidebar.llm.pieces import encode_and_decode
 from tidebar.llm.token_counts import token_counts
 from tidebar.llm.topk import quantized, top_k
 from tidebar.llm.warc import digest_column, read_warc, write_pages
@@ -57,7 +57,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and whether decoding them gives the text again."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = decode(encode(docs, piece_model()), piece_model())
+    out = encode_and_decode(docs, piece_model())
     plain = F.translate(F.coalesce("text", F.lit("")), "▁", " ")
     return out.select(
         "doc_id",

@@ -15,7 +15,7 @@ import pyarrow as pa
 
 SPACE = "▁"
 #: Characters of text, and of units not met before, that are handled together.
-SLICE, FRESH = 8 << 20, 1 << 20
+SLICE, FRESH = 4 << 20, 1 << 20
 #: Units that a task remembers; beyond, it starts anew.
 KEEP = 400_000
 
