@@ -291,10 +291,13 @@ def test_job(spark, archive, tmp_path):
     for k in (0, 12, 4):
         assert len(glob.glob(f"{out}/f/symbol=A/date={day(k)}/*.parquet")) == 1
     assert not os.path.exists(f"{out}/f/symbol=A/date={day(13)}")
-    lines = summary_lines(report, f"{out}/f", f"{out}/b")
-    assert lines[:3] == ["ok=8", "error=2", "no_data=5"]
-    assert any("missing required columns: close" in x for x in lines)
-    assert f"features: {out}/f/symbol=A/date={day(0)}" in lines
+    error = f"{day(13)}: missing required columns: close"
+    assert summary_lines(report, 2) == [
+        "symbol\tstatus\tdays\tbars\tfirst days",
+        f"A\terror\t2\t0\t{day(13)} ({error}); {day(14)} ({error})",
+        f"A\tno_data\t5\t0\t{day(7)}; {day(8)}",
+        f"A\tok\t8\t100\t{day(0)}; {day(1)}",
+    ]
     assert not glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/tidebar/regime-job-*/work")
 
 
@@ -327,8 +330,64 @@ def test_stale_days_are_emptied(spark, archive, tmp_path):
 def test_arguments(spark, archive, tmp_path):
     with pytest.raises(ValueError):
         run(spark, archive, str(tmp_path), 3, 2)
-    args = parse_args(
-        "--in-path i --symbol A,B --out-features f --start-date 2024-01-01 "
-        "--end-date 2024-01-02".split()
-    )
-    assert args.tail_days == 7 and args.out_minute == ""
+    args = parse_args("in A B --days 2024-01-01:2024-01-02 --features f".split())
+    assert (args.symbols, args.history, args.bars) == (["A", "B"], 7, None)
+
+
+def test_unreadable_files_fail_their_days_alone(spark, archive, tmp_path):
+    """Garbage and a cut file: the days that see them are errors, all else is computed."""
+    out = str(tmp_path)
+    put(klines(7, 20), archive, f"date={day(7)}", "x.parquet")
+    put(klines(7, 20), archive, f"date={day(7)}", "y.parquet")
+    with open(f"{archive}/date={day(7)}/y.parquet", "r+b") as f:
+        f.truncate(200)
+    os.makedirs(f"{archive}/date={day(8)}")
+    with open(f"{archive}/date={day(8)}/g.parquet", "wb") as f:
+        f.write(b"garbage")
+    report = {r.day: r for r in run(spark, archive, out).collect()}
+    failed = [k for k in range(15) if report[day(k)].status == "error"]
+    assert failed == [7, 8, 9, 10, 11, 13, 14]
+    assert "unreadable file" in report[day(9)].error
+    assert spark.read.parquet(f"{out}/f").count() == 5 * 20
+    assert not glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/tidebar/regime-job-*/work")
+    with pytest.raises(Exception, match="unreadable file"):
+        scan(spark, archive, 8, 8)
+
+
+TEXTS = {
+    "slash": "%Y/%m/%d %H:%M:%S", "month_first": "%m/%d/%Y %H:%M:%S", "compact": "%Y%m%d %H:%M:%S",
+    "named": "%d %b %Y %H:%M", "iso": "%Y-%m-%dT%H:%M:%S", "long": "%B %d, %Y %H:%M:%S",
+}
+
+
+def test_texts_of_many_forms(spark, tmp_path):
+    for k, form in enumerate(TEXTS.values()):
+        frame = klines(k, 10)
+        at = pd.to_datetime(frame.open_time, unit="ms").dt.floor("min")
+        frame = frame.drop(columns="open_time").assign(startTime=at.dt.strftime(form))
+        put(frame, str(tmp_path), f"date={day(k)}", "x.parquet")
+    got = scan(spark, tmp_path).ticks.where("CAST(ts AS date) = source_day")
+    assert sorted(r["count"] for r in got.groupBy("source_day").count().collect()) == [10] * len(TEXTS)
+
+
+def test_texts_that_say_nothing_leave_old_output(spark, tmp_path):
+    r, out = str(tmp_path / "in"), str(tmp_path / "out")
+    put(klines(0, 10), r, f"date={day(0)}", "x.parquet")
+    run(spark, r, out, 0, 0)
+    frame = klines(0, 10).drop(columns="open_time").assign(startTime="?")
+    put(frame, r, f"date={day(0)}", "x.parquet")
+    report = run(spark, r, out, 0, 0).first()
+    assert report.status == "error" and report.error.endswith("in any of 10 texts")
+    assert spark.read.parquet(f"{out}/f").count() == 10
+
+
+def test_the_session_is_left_as_found(spark, archive, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        before = dict(spark.conf.getAll)
+        run(spark, archive, str(tmp_path), 0, 2)
+        with pytest.raises(ValueError):
+            run(spark, archive, str(tmp_path), 2, 0)
+        assert dict(spark.conf.getAll) == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -5,7 +5,6 @@ from datetime import date, datetime
 import pytest
 
 from tidebar.schema import TAKER_ALIASES, TIME_ALIASES, VOLUME_ALIASES
-from tidebar.sources import normalize as module
 from tidebar.sources.normalize import missing_columns, normalize, pick_alias, time_facts
 
 MS = 1704067200000
@@ -139,9 +138,11 @@ def test_required_columns(spark):
         normalize(raw(spark, row()))
 
 
-def test_day_facts_above_the_broadcast_bound_are_shuffled(spark, monkeypatch):
-    monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
+def test_nothing_runs_before_an_action(spark):
     df = raw(spark, row(open_time=MS), types={"open_time": "bigint"})
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("normalize", "no job is meant to run")
     out = normalize(df)
-    assert "Broadcast" not in out._jdf.queryExecution().optimizedPlan().toString().split("Join")[1]
+    assert not tracker.getJobIdsForGroup("normalize")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert out.first().ts == AT

@@ -11,7 +11,14 @@ _INF = float("inf")
 # What counts as a number, and the instants a 64-bit count of
 # nanoseconds can hold (about 1677-09-21 to 2262-04-11), in microseconds.
 NUMBER_TEXT = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)\s*$"
-DATED_TEXT = r"^\s*[+-]?\d{4}"
+ISO_TEXT = r"^\s*[+-]?\d{4}-"
+# Other forms of a date, each alone or with a time of day; the first that fits is taken,
+# so the month comes first where a text leaves it open.
+TEXT_DATES = [
+    "yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "yyyyMMdd", "M-d-yyyy", "d-M-yyyy", "d.M.yyyy",
+    "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy",
+]
+TEXT_TIME = "[' ']['T'][H:mm[:ss][.SSSSSS][.SSS]]"
 MIN_MICROS = -9_223_372_036_854_775
 MAX_MICROS = 9_223_372_036_854_775
 
@@ -90,13 +97,22 @@ def from_epoch(c: Column, unit: str, dtype: T.DataType) -> Column:
     )
 
 
+def _from_text(c: Column) -> Column:
+    """ISO texts by a cast, others by the first of `TEXT_DATES` that fits, else NULL."""
+    text = F.trim(c)
+    iso = F.when(c.rlike(ISO_TEXT), c.try_cast("timestamp"))
+    year = F.when(c.rlike(r"^\s*\d{4}\s*$"), c.try_cast("timestamp"))
+    others = [F.try_to_timestamp(text, F.lit(d + TEXT_TIME)) for d in TEXT_DATES]
+    return F.coalesce(iso, year, *others)
+
+
 def parse_instant(c: Column, dtype: T.DataType) -> Column:
     """A `ts`-like column to an instant: typed values as they are, integers as
     nanoseconds, texts parsed (UTC when they name no zone), anything else NULL."""
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         out = c.cast("timestamp")
     elif isinstance(dtype, T.StringType):
-        out = F.when(c.rlike(DATED_TEXT), c.try_cast("timestamp"))
+        out = _from_text(c)
     elif isinstance(dtype, T.NumericType):
         return from_epoch(c, "ns", dtype)
     else:

@@ -83,6 +83,7 @@ def daily_regime_features(
     tail_days: int = 7,
     spec: RegimeSpec = RegimeSpec(),
     block_days: int = BLOCK_DAYS,
+    n_bars: int | None = None,
 ) -> DataFrame:
     """Features of every bar in `[start, end]`, each day computed from its own bars and
     those of the `tail_days` before it, and from nothing older.
@@ -101,6 +102,7 @@ def daily_regime_features(
         end,
         tail_days,
         block_days,
+        n_bars,
     ).selectExpr("*", "unix_date(source_day) AS _day")
     level = rolling(
         blocks, _level_rolls(spec), BLOCK_KEYS, ("_day", "ts"), reach=Reach("_day", tail_days)

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # on average instead of 1 + tail_days times.
 BLOCK_DAYS = 7
 
+# Rows of blocks in a task, about: 140 of a symbol's days of full minutes.
+ROWS_PER_TASK = 200_000
+
 BLOCK_KEYS = ["part", "symbol"]
 FAN_KEYS = ["part", "symbol", "target_day"]
 
@@ -21,6 +24,7 @@ def spread_blocks(
     end: date | None = None,
     tail_days: int = 7,
     block_days: int = BLOCK_DAYS,
+    n_bars: int | None = None,
 ) -> DataFrame:
     """Send each bar to every block of target days that needs it.
 
@@ -40,8 +44,11 @@ def spread_blocks(
         bars = bars.where(F.col("source_day") <= F.lit(end))
         last = f"least({last}, unix_date(DATE'{end}'))"
     opens = f"_block * {block_days}"
-    # An explicit count keeps AQE from merging partitions: rows multiply after the shuffle.
+    # AQE merges partitions by their size before rows multiply, so the number is set: by
+    # the number of bars where the caller knows it.
     partitions = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if n_bars is not None:
+        partitions = max(1, -(-n_bars * (tail_days + block_days) // (block_days * ROWS_PER_TASK)))
     return (
         bars.selectExpr(
             "*",

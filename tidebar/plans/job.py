@@ -12,10 +12,9 @@ from tidebar.operators.features import daily_regime_features
 from tidebar.operators.report import day_outcomes, requested_days, rows_per_day
 from tidebar.operators.sink import write_daily, write_empty_days
 from tidebar.schema import BAR_SCHEMA, FEATURE_SCHEMA, RegimeSpec
-from tidebar.session import drop_path, materialize, scratch_dir, use_utc
+from tidebar.session import drop_path, materialize, scratch_dir, utc
 from tidebar.sources.calendar import as_date, calendar
-from tidebar.sources.klines import scan_klines
-from tidebar.sources.normalize import BROADCAST_ROWS
+from tidebar.sources.klines import KlineScan, scan_klines
 
 
 def run_regime_features(
@@ -37,52 +36,46 @@ def run_regime_features(
     Raw files are read once: the bars, a sixtieth of them, are kept in the shared folder
     and feed the features, the bar output and the report alike.
     """
-    use_utc(spark)
     symbols = [symbols] if isinstance(symbols, str) else list(symbols)
     start, end = as_date(start), as_date(end)
-    days = calendar(spark, start, end)
     if tail_days < 0:
         raise ValueError("tail_days must not be negative")
-
+    requested = requested_days(calendar(spark, start, end), symbols)
     scratch = scratch_dir(spark, "regime-job")
     work = f"{scratch}/work"
-    scan = scan_klines(spark, in_path, symbols, start - timedelta(days=tail_days), end, work)
-    bars = materialize(day_bars(scan.ticks, tie_break), f"{work}/bars")
-    report = materialize(
-        day_outcomes(
-            requested_days(days, symbols),
-            rows_per_day(bars, "source_day", "n_bars"),
-            scan.inputs,
-            scan.rejected,
-            tail_days,
-        ),
-        f"{scratch}/report",
-    )
+    with utc(spark):
+        try:
+            since = start - timedelta(days=tail_days)
+            scan = scan_klines(spark, in_path, symbols, since, end, work)
+            bars = materialize(day_bars(scan.ticks, tie_break), f"{work}/bars")
+            counts = rows_per_day(bars, "source_day", "n_bars")
+            outcomes = day_outcomes(
+                requested, counts, scan.inputs, scan.rejected.unionByName(_silent(scan, counts)), tail_days
+            )
+            report = materialize(outcomes, f"{scratch}/report")
+            failed = report.where("status = 'error'").select("symbol", F.col("day").alias("date"))
+            failed = None if failed.isEmpty() else failed
+            features = daily_regime_features(bars, start, end, tail_days, spec, n_bars=bars.count())
+            write_daily(_without(features, failed), out_features, failed is None)
+            empty = report.where("status = 'ok' AND n_feat_rows = 0").selectExpr("symbol", "day AS date")
+            write_empty_days(FEATURE_SCHEMA, out_features, empty)
+            if out_bars:
+                wanted = bars.where(F.col("source_day").between(F.lit(start), F.lit(end)))
+                write_daily(_without(wanted.withColumnRenamed("source_day", "date"), failed), out_bars)
+                write_empty_days(BAR_SCHEMA.replace("source_day", "date"), out_bars, empty)
+        finally:
+            drop_path(spark, work)
+    return report
 
-    failed = report.where("status = 'error'").select("symbol", F.col("day").alias("date"))
-    n_failed = failed.count()
-    features = daily_regime_features(bars, start, end, tail_days, spec)
-    features, clustered = _without(features, failed, n_failed)
-    write_daily(features, out_features, clustered)
-    if out_bars:
-        wanted = bars.where(F.col("source_day").between(F.lit(start), F.lit(end)))
-        wanted, _ = _without(wanted.withColumnRenamed("source_day", "date"), failed, n_failed)
-        write_daily(wanted, out_bars)
 
-    empty = report.where("status = 'ok' AND n_feat_rows = 0").select("symbol", "day")
-    keys = [(r.symbol, r.day) for r in empty.toLocalIterator()]
-    write_empty_days(spark, FEATURE_SCHEMA, out_features, keys)
-    if out_bars:
-        bar_schema = BAR_SCHEMA.replace("source_day", "date")
-        write_empty_days(spark, bar_schema, out_bars, keys)
-    drop_path(spark, work)
-    return report
+def _silent(scan: KlineScan, counts: DataFrame) -> DataFrame:
+    """Days whose time column holds texts, none of which gave a bar: an error, so that what
+    an earlier run wrote stays."""
+    silent = scan.texts.join(counts.withColumnRenamed("source_day", "day"), ["symbol", "day"], "left_anti")
+    error = F.concat(F.lit("no instant of the day in any of "), "n_texts", F.lit(" texts"))
+    return silent.select("symbol", "day", error.alias("error"))
 
 
-def _without(df: DataFrame, failed: DataFrame, n_failed: int) -> tuple[DataFrame, bool]:
-    """`df` less the failed days, and whether its partitioning is untouched."""
-    if n_failed == 0:
-        return df, True
-    small = n_failed <= BROADCAST_ROWS
-    other = F.broadcast(failed) if small else failed.hint("merge")
-    return df.join(other, ["symbol", "date"], "left_anti"), small
+def _without(df: DataFrame, failed: DataFrame | None) -> DataFrame:
+    """`df` less the failed days."""
+    return df if failed is None else df.join(failed, ["symbol", "date"], "left_anti")

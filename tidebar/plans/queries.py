@@ -515,7 +515,7 @@ def _report(spark, sf):
     events = _events(spark, sf)
     first, last = _day_range(events)
     days = events.selectExpr("event_type AS symbol", "cast(ts AS date) AS day", "ts")
-    symbols = ["click", "error", "purchase", "signup", "view"]
+    symbols = [r.event_type for r in events.select("event_type").distinct().collect()]
     present = days.where("NOT (symbol = 'click' AND day(day) > 9)")
     counts = rows_per_day(
         present.where("symbol <> 'error' OR day(day) <> 12").withColumnRenamed(

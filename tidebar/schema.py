@@ -26,6 +26,12 @@ PRICE_COLS = ["open", "high", "low", "close"]
 # A day whose median time value is above this holds milliseconds, else seconds.
 MILLIS_THRESHOLD = 10_000_000_000
 
+# Windows in bars, and the least number of observations each needs.
+SHORT_WINDOW, SHORT_LEAST = 60, 20
+DAY_WINDOW, DAY_LEAST = 1440, 360
+WEEK_WINDOW, WEEK_LEAST = 10080, 4320
+TREND_SECONDS = 86400
+
 # ----------------------------------------------------------------------------
 
 TICK_COLS = ["symbol", "source_day", "ts", *PRICE_COLS, "volume", "taker_base"]
@@ -51,10 +57,10 @@ class RegimeSpec:
     Windows count bars, not minutes of wall time: gaps stretch what they cover.
     """
 
-    short: int = 60
-    day: int = 24 * 60
-    week: int = 168 * 60
-    min_short: int = 20
-    min_day: int = 6 * 60
-    min_week: int = 3 * 24 * 60
-    trend_seconds: int = 24 * 60 * 60
+    short: int = SHORT_WINDOW
+    day: int = DAY_WINDOW
+    week: int = WEEK_WINDOW
+    min_short: int = SHORT_LEAST
+    min_day: int = DAY_LEAST
+    min_week: int = WEEK_LEAST
+    trend_seconds: int = TREND_SECONDS

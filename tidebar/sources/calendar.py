@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def as_date(value: str | date) -> date:
-    return value if isinstance(value, date) else date.fromisoformat(value)
+    """The day of a date, an instant, or an ISO text of either."""
+    if isinstance(value, str):
+        value = datetime.fromisoformat(value)
+    return value.date() if isinstance(value, datetime) else value
 
 
 def calendar(spark: SparkSession, start: str | date, end: str | date) -> DataFrame:

@@ -12,34 +12,26 @@ from tidebar.schema import (
     TIME_ALIASES,
     VOLUME_ALIASES,
 )
+from tidebar.sources.stores import system_of
 
 KNOWN_COLS = ["ts", *TIME_ALIASES, *PRICE_COLS, *VOLUME_ALIASES, *TAKER_ALIASES]
 _FILES_PER_TASK = 32
+UNREADABLE_MESSAGE = "unreadable file "
 
 
 def read_footers(files: DataFrame, n_files: int) -> DataFrame:
-    """Add `n_rows` and `cols` to a file listing: of each known column its name, Arrow
-    type, and, where the footer tells, its number of values and numeric range.
+    """Add `n_rows`, `cols` and `unreadable` to a file listing: of each known column its
+    name, Arrow type, and, where the footer tells, its number of values and numeric range.
+    A file whose footer cannot be read has no rows and columns, and says why.
 
     Lets schemas be settled, and most days' time units too, without reading any data.
     Footers are fetched by tasks; only the fetching itself is Python.
     """
     known = set(KNOWN_COLS)
 
-    # Nested and self-contained, so that workers need no copy of this package.
     def fetch(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        def open_file(path: str):
-            if path.startswith("file:"):
-                return fs.LocalFileSystem().open_input_file("/" + path[5:].lstrip("/"))
-            for hadoop_name in ("s3a://", "s3n://"):
-                if path.startswith(hadoop_name):
-                    path = "s3://" + path[len(hadoop_name) :]
-            system, inner = fs.FileSystem.from_uri(path)
-            return system.open_input_file(inner)
 
         def describe(meta, field, index: int) -> dict:
             groups = [meta.row_group(g).column(index) for g in range(meta.num_row_groups)]
@@ -55,10 +47,18 @@ def read_footers(files: DataFrame, n_files: int) -> DataFrame:
             return out
 
         for batch in batches:
-            rows, cols = [], []
+            rows, cols, errors = [], [], []
             for path in batch["path"]:
-                with open_file(path) as handle:
-                    meta = pq.ParquetFile(handle).metadata
+                try:
+                    system, inner = system_of(path)
+                    with system.open_input_file(inner) as handle:
+                        meta = pq.ParquetFile(handle).metadata
+                except (OSError, pa.ArrowException) as e:
+                    rows.append(0)
+                    cols.append([])
+                    errors.append(f"{UNREADABLE_MESSAGE}{path}: {str(e).splitlines()[0][:200]}")
+                    continue
+                errors.append(None)
                 leaves = {meta.schema.column(i).path: i for i in range(meta.num_columns)}
                 rows.append(meta.num_rows)
                 cols.append(
@@ -68,11 +68,11 @@ def read_footers(files: DataFrame, n_files: int) -> DataFrame:
                         if f.name in known and f.name in leaves
                     ]
                 )
-            yield batch.assign(n_rows=rows, cols=cols)
+            yield batch.assign(n_rows=rows, cols=cols, unreadable=errors)
 
     schema = files.schema.simpleString()[len("struct<") : -1] + (
         ",n_rows:bigint,cols:array<struct<name:string,type:string,n:bigint,lo:double,hi:double>>"
+        ",unreadable:string"
     )
-    slots = files.sparkSession.sparkContext.defaultParallelism
-    tasks = max(1, min(4 * slots, -(-n_files // _FILES_PER_TASK)))
+    tasks = max(1, -(-n_files // _FILES_PER_TASK))
     return files.repartition(tasks).mapInPandas(fetch, schema)

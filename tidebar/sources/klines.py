@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 from typing import NamedTuple
 
@@ -39,11 +40,13 @@ _TICKS = (
 
 class KlineScan(NamedTuple):
     """Ticks to compute with; `inputs` (symbol, day, n_files, n_rows) of every day that has
-    files; `rejected` (symbol, day, error) of the days that cannot be read as klines."""
+    files; `rejected` (symbol, day, error) of the days that cannot be read as klines; `texts`
+    (symbol, day, n_texts) of the days whose instants are texts, by what their footers say."""
 
     ticks: DataFrame
     inputs: DataFrame
     rejected: DataFrame
+    texts: DataFrame
 
 
 class _Archive(NamedTuple):
@@ -52,6 +55,7 @@ class _Archive(NamedTuple):
     start: date
     end: date
     files: DataFrame
+    scratch: str
 
 
 def scan_klines(
@@ -73,19 +77,34 @@ def scan_klines(
     files = materialize(day_files(spark, root, symbols, start, end), f"{scratch}/files")
     chosen = pick_layout(files)
     footers = materialize(read_footers(chosen, files.count()), f"{scratch}/footers")
-    archive = _Archive(root, symbols, start, end, files)
+    archive = _Archive(root, symbols, start, end, files, scratch)
 
     inputs = footers.groupBy(*DAY).agg(
         F.count("*").alias("n_files"), F.sum("n_rows").alias("n_rows")
     )
-    readable = materialize(_with_picks(footers), f"{scratch}/readable")
+    broken = footers.groupBy(*DAY).agg(F.min("unreadable").alias("error")).where("error IS NOT NULL")
+    n_broken, n_files = footers.agg(F.count("unreadable"), F.count("*")).first()
+    if n_files and n_broken == n_files:
+        raise OSError(broken.first().error)
+    readable = materialize(_with_picks(footers).join(broken, DAY, "left_anti"), f"{scratch}/readable")
     error = F.when(F.col("mode") == "none", NO_TIME_MESSAGE).when(
         F.col("missing") != "", F.concat(F.lit(MISSING_MESSAGE), "missing")
     )
     judged = readable.join(_time_modes(archive, readable), DAY).withColumn("error", error)
     judged = materialize(judged, f"{scratch}/judged")
     rejected = judged.where("error IS NOT NULL").select(*DAY, "error").distinct()
-    return KlineScan(_read_ticks(archive, judged.where("error IS NULL")), inputs, rejected)
+    good = judged.where("error IS NULL")
+    ticks = _read_ticks(archive, good)
+    return KlineScan(ticks, inputs, rejected.unionByName(broken), _texts(good))
+
+
+def _texts(good: DataFrame) -> DataFrame:
+    """Number of non-null texts in the time column of each day that is read by one."""
+    used = F.when(F.col("mode") == "ts", F.lit("ts")).otherwise(F.col("alt_col"))
+    column = F.get(F.filter("cols", lambda x: x["name"] == used), F.lit(0))
+    texts = good.select(*DAY, "n_rows", column.alias("time")).where("time.type LIKE '%string'")
+    n = F.sum(F.coalesce(F.col("time.n"), F.col("n_rows")))
+    return texts.groupBy(*DAY).agg(n.alias("n_texts")).where("n_texts > 0")
 
 
 def _with_picks(footers: DataFrame) -> DataFrame:
@@ -169,7 +188,6 @@ def _time_modes(archive: _Archive, readable: DataFrame) -> DataFrame:
         .otherwise(alias_mode)
         .alias("mode"),
     )
-    settled = settled.persist()
     open_days = settled.where("mode IS NULL").select(*DAY)
     if open_days.isEmpty():
         return settled
@@ -261,13 +279,19 @@ def _read_groups(archive: _Archive, files: DataFrame, by: list[str], shape) -> D
 
     pieces = []
     for group in listed:
-        if "timestamp[ns" in group.types:
-            spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-        wanted = {t.split(":", 1)[0] for t in group.types.split(",") if t}
-        fields = [f for f in spark.read.parquet(group.sample).schema.fields if f.name in wanted]
         mine = None if group in whole else paths[tuple(group[n] for n in names)]
-        raw = _load(archive, group.kind, fields, mine)
-        pieces.append(shape(raw, group, {f.name: f.dataType for f in fields}))
+
+        def read(group=group, mine=mine) -> DataFrame:
+            wanted = {t.split(":", 1)[0] for t in group.types.split(",") if t}
+            schema = spark.read.parquet(group.sample).schema
+            fields = [f for f in schema.fields if f.name in wanted]
+            raw = _load(archive, group.kind, fields, mine)
+            return shape(raw, group, {f.name: f.dataType for f in fields})
+
+        if "timestamp[ns" in group.types:
+            pieces.append(_with_nanos(spark, read, f"{archive.scratch}/nanos-{uuid.uuid4().hex}"))
+        else:
+            pieces.append(read())
     if not pieces:
         return None
     out = pieces[0]
@@ -276,6 +300,18 @@ def _read_groups(archive: _Archive, files: DataFrame, by: list[str], shape) -> D
     return out
 
 
+def _with_nanos(spark: SparkSession, read, path: str) -> DataFrame:
+    """`read()` with nanosecond instants as integers, which takes a setting of the session:
+    computed while it holds, kept at `path`, and the setting put back."""
+    name = "spark.sql.legacy.parquet.nanosAsLong"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        return materialize(read(), path)
+    finally:
+        spark.conf.set(name, before)
+
+
 def _folder_counts(archive: _Archive) -> dict[int, int]:
     """Files below all `date=` (1) and all `dt=` (2) folders, at any depth."""
     kinds = archive.files.groupBy(

@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 from datetime import date, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidebar.sources.stores import files_below
+
 # The layouts, in order of preference. A day takes the first that has any
 # Parquet file; deeper files of a bare `D/` folder are never looked at.
 LAYOUTS = {
@@ -19,6 +20,10 @@ LAYOUTS = {
     5: "dt=D/**/*.parquet",
 }
 
+_FOLDERS = ["date=", "dt=", ""]
+# A task lists this many folders, whatever the size of their files.
+_FOLDERS_PER_TASK = 256
+
 SYMBOL = "{symbol}"
 _MANIFEST = "path string, length bigint, symbol string, day date, layout int, dir string"
 
@@ -54,52 +59,45 @@ def day_files(
 ) -> DataFrame:
     """Every Parquet file in a daily folder of `[start, end]`, whatever its layout."""
     check_root(root, symbols)
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.parquet")
-            .load(day_glob(root, symbols, start, end, "{date=,dt=,}"))
-            .select("path", "length")
-        )
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], _MANIFEST)
-
-    grouped = SYMBOL in root
-    pattern = f"^(.*{root_pattern(root)}/(date=|dt=|)(\\d{{4}}-\\d{{2}}-\\d{{2}}))/(.+)$"
-    kind, day, rest = (3, 4, 5) if grouped else (2, 3, 4)
-
-    def part(group: int):
-        return F.regexp_extract("path", pattern, group)
-
-    flat = ~F.col("_rest").contains("/")
-    return (
-        files.select(
-            "path",
-            "length",
-            (part(2) if grouped else F.lit(symbols[0])).alias("symbol"),
-            part(day).try_cast("date").alias("day"),
-            part(1).alias("dir"),
-            part(kind).alias("_kind"),
-            part(rest).alias("_rest"),
-        )
-        .where(F.col("day").between(F.lit(start), F.lit(end)))
+    base = root.rstrip("/")
+    n_days = (end - start).days + 1
+    folders = (
+        spark.sql(f"SELECT explode(sequence(DATE'{start}', DATE'{end}')) AS day")
+        .select(F.explode(F.array(*map(F.lit, symbols))).alias("symbol"), "day")
+        .select("*", F.explode(F.array(*map(F.lit, _FOLDERS))).alias("kind"))
         .select(
-            "path",
-            "length",
             "symbol",
             "day",
-            F.when((F.col("_kind") == "date=") & flat, 1)
-            .when((F.col("_kind") == "dt=") & flat, 2)
-            .when((F.col("_kind") == "") & flat, 3)
-            .when(F.col("_kind") == "date=", 4)
-            .when(F.col("_kind") == "dt=", 5)
-            .alias("layout"),
-            "dir",
+            "kind",
+            F.concat(
+                F.replace(F.lit(base), F.lit(SYMBOL), F.col("symbol")), F.lit("/"), "kind", F.col("day").cast("string")
+            ).alias("dir"),
         )
     )
+    tasks = -(-len(symbols) * n_days * len(_FOLDERS) // _FOLDERS_PER_TASK)
+    return folders.repartition(max(1, tasks), "dir").mapInPandas(_listed, _MANIFEST)
+
+
+def _listed(batches):
+    """The files of each folder; a folder that is not there has none."""
+    import pandas as pd
+
+    for batch in batches:
+        rows = []
+        for symbol, day, kind, folder in batch.itertuples(index=False):
+            for name, length in files_below(folder):
+                layout = _layout_of(kind, "/" in name)
+                rows.append((f"{folder}/{name}", length, symbol, day, layout, folder))
+        yield pd.DataFrame(rows, columns=["path", "length", "symbol", "day", "layout", "dir"]).astype(
+            {"layout": "Int32"}
+        )
+
+
+def _layout_of(kind: str, deep: bool) -> int | None:
+    order = ["date=", "dt=", ""]
+    if deep:
+        return {"date=": 4, "dt=": 5}.get(kind)
+    return 1 + order.index(kind)
 
 
 def pick_layout(files: DataFrame) -> DataFrame:

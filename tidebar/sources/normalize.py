@@ -18,10 +18,6 @@ from tidebar.schema import (
     VOLUME_ALIASES,
 )
 
-# Day tables up to this many rows are broadcast (some 40 bytes each); above, a join shuffles.
-BROADCAST_ROWS = 500_000
-
-
 def pick_alias(present: Sequence[str], names: Sequence[str]) -> str | None:
     """The first of `names` that is present; values play no part."""
     return next((n for n in names if n in present), None)
@@ -62,13 +58,6 @@ def time_facts(ts: Column | None, epoch: Column | None) -> list[Column]:
     return [any_ts.alias("any_ts"), F.when(ms, "ms").otherwise("s").alias("unit")]
 
 
-def join_small(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join a table of one row per symbol and day: broadcast if it is counted to be small."""
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        small = F.broadcast(small)
-    return df.join(small, on, how)
-
-
 def tick_columns(
     dtypes: dict[str, T.DataType], volume: str | None, taker: str | None
 ) -> list[Column]:
@@ -114,7 +103,7 @@ def normalize(raw: DataFrame) -> DataFrame:
     elif ts is None and epoch is None:
         time = instant_of(alt, dtypes[alt], None)
     else:
-        raw = join_small(raw, raw.groupBy(*keys).agg(*time_facts(ts, epoch)), keys)
+        raw = raw.join(raw.groupBy(*keys).agg(*time_facts(ts, epoch)), keys)
         other = (
             instant_of(alt, dtypes[alt], None)
             if epoch is None
