@@ -121,6 +121,16 @@ _ARCHIVE_TICKS = _ticks(
     f"FROM events WHERE {_D} NOT IN ({GAP_DAY}, {BAD_DAY}))",
 )
 
+_WHOLE_TICKS = _ARCHIVE_TICKS.replace(f" WHERE {_D} NOT IN ({GAP_DAY}, {BAD_DAY})", "")
+
+
+def _by_minute(ticks: str) -> str:
+    return f"""WITH t AS ({ticks})
+SELECT symbol, source_day, date_trunc('minute', ts) AS minute, count(*) AS n,
+  round(sum(close), 6) + 0.0 AS close, sum(volume) AS volume, sum(taker_base) AS taker_base
+FROM t GROUP BY 1, 2, 3"""
+
+
 _ARCHIVE_DAYS = f"""
 files AS (
   SELECT {_DAY} AS day, count(DISTINCT event_id % {FILE_SPLITS} + {FILE_SPLITS} *
@@ -136,12 +146,6 @@ coverage AS (
 _MISSING = "missing required columns: close"
 
 
-def _job_ticks_ok(features_from: str) -> str:
-    """Rows of the target days whose history holds no rejected day."""
-    bad = f"(SELECT DISTINCT {_DAY} AS bad FROM events WHERE {_D} = {BAD_DAY})"
-    return f"NOT EXISTS (SELECT 1 FROM {bad} WHERE {features_from} BETWEEN bad AND bad + 7)"
-
-
 _REPORT = f"""
 days AS (SELECT CAST(unnest(generate_series(CAST({_FIRST} AS TIMESTAMP),
   CAST({_LAST} AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day),
@@ -278,10 +282,12 @@ FROM events WHERE {_D} % 3 = 0 OR event_id % 5 <> 0""",
 SELECT day, CAST(CASE WHEN day(day) = {BAD_DAY} THEN 1 ELSE
   CASE day(day) % 5 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 1 WHEN 4 THEN 4 ELSE 5 END END
   AS INTEGER) AS layout, n_files FROM files""",
-        "scan_ticks": f"""WITH t AS ({_ARCHIVE_TICKS})
-SELECT symbol, source_day, date_trunc('minute', ts) AS minute, count(*) AS n,
-  round(sum(close), 6) + 0.0 AS close, sum(volume) AS volume, sum(taker_base) AS taker_base
-FROM t GROUP BY 1, 2, 3""",
+        "scan_ticks": _by_minute(_WHOLE_TICKS),
+        "scan_hive_uniform": _by_minute(_ticks()),
+        "scan_bare_days": _by_minute(_ticks()),
+        "scan_nested": _by_minute(_ticks()),
+        "scan_many_symbols": _by_minute(_ticks("event_type")),
+        "ts_text_formats": _by_minute(_ticks()),
         "rejected_days": f"SELECT DISTINCT 'ALL' AS symbol, {_DAY} AS day, "
         f"'{_MISSING}' AS error FROM events WHERE {_D} = {BAD_DAY}",
         "input_coverage": f"WITH {_ARCHIVE_DAYS}, {_COVERAGE} "
@@ -301,12 +307,26 @@ SELECT 'ALL' AS symbol, facts.day,
   CASE WHEN bad_day IS NULL THEN coalesce(inputs, '') END AS inputs,
   CASE WHEN bad_day IS NOT NULL THEN bad_day || ': {_MISSING}' END AS error
 FROM facts LEFT JOIN own USING (day) LEFT JOIN coverage USING (day)""",
+        "status_unreadable_file": f"""WITH {_returns(_ticks())},
+own AS (SELECT source_day AS day, count(*) AS n FROM day GROUP BY 1),
+days AS (SELECT CAST(unnest(generate_series(CAST({_FIRST} AS TIMESTAMP),
+  CAST({_LAST} AS TIMESTAMP) + INTERVAL 10 DAY, INTERVAL 1 DAY)) AS DATE) AS day),
+bads AS (SELECT DISTINCT {_DAY} AS bad FROM events WHERE {_D} = {BAD_DAY}),
+facts AS (SELECT days.day,
+    EXISTS (SELECT 1 FROM bads WHERE days.day BETWEEN bad AND bad + 7) AS failed,
+    EXISTS (SELECT 1 FROM own JOIN days d USING (day) WHERE day NOT IN (SELECT bad FROM bads)
+      AND own.day BETWEEN days.day - 7 AND days.day) AS seen
+  FROM days)
+SELECT 'ALL' AS symbol, facts.day,
+  CASE WHEN failed THEN 'error' WHEN seen THEN 'ok' ELSE 'no_data' END AS status,
+  CASE WHEN NOT failed AND seen THEN coalesce(n, 0) END AS n_feat_rows
+FROM facts LEFT JOIN own USING (day)""",
         "regime_job": "WITH "
-        f"{_features(_ARCHIVE_TICKS, DENSITY, 7, _FIRST, f'{_LAST} + 10')} "
-        f"SELECT symbol, date, ts, {_FEATURES} FROM feat WHERE {_job_ticks_ok('date')}",
-        "bar_sink": f"WITH {_returns(_ARCHIVE_TICKS)} "
+        f"{_features(_WHOLE_TICKS, DENSITY, 7, _FIRST, f'{_LAST} + 10')} "
+        f"SELECT symbol, date, ts, {_FEATURES} FROM feat",
+        "bar_sink": f"WITH {_returns(_WHOLE_TICKS)} "
         "SELECT symbol, source_day AS date, ts, open, high, low, close, volume, taker_base, "
-        f"{_r(9, 'ret1m', 'ret2_1m', 'absret1m')} FROM day WHERE {_job_ticks_ok('source_day')}",
+        f"{_r(9, 'ret1m', 'ret2_1m', 'absret1m')} FROM day",
         "status_by_symbol": f"WITH {_REPORT} SELECT * FROM report",
         "status_counts": f"WITH {_REPORT} SELECT status, count(*) AS n_days FROM report GROUP BY 1",
         "first_no_data_days": f"WITH {_REPORT} SELECT symbol, day, status FROM report "

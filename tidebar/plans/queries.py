@@ -33,6 +33,7 @@ from tidebar.sources.calendar import calendar
 from tidebar.sources.klines import scan_klines
 from tidebar.sources.layout import day_files, pick_layout
 from tidebar.sources.normalize import normalize
+from tidebar.sources.stores import system_of
 
 # About 299 minutes a day carry events at scale 0.01, and 65 of each event type.
 DENSITY = RegimeSpec(short=12, day=299, week=2093, min_short=4, min_day=75, min_week=897)
@@ -376,24 +377,26 @@ def q_union_by_name(spark, sf):
 
 # --- files ------------------------------------------------------------------------
 
-_ARCHIVES: dict[tuple[str, str], str] = {}
+_ARCHIVES: dict[tuple, str] = {}
 
 # Days of the month that the archive leaves out, or writes without `close`.
 GAP_DAY, BAD_DAY = 22, 13
 FILE_SPLITS = 4
 
 
-def kline_archive(spark: SparkSession, sf: str) -> str:
-    """The ticks as daily files whose folder, names, types and units vary by day.
+def kline_archive(spark: SparkSession, sf: str, whole: bool = False) -> str:
+    """The ticks as daily files whose folder, names, types and units vary by day; all of
+    them if `whole`, else without `GAP_DAY` and with `BAD_DAY` spoilt.
 
     By day of month modulo 5: 1 standard under `date=`; 2 seconds and other names under
     `dt=`; 3 both folders, of which `date=` counts; 4 texts under `date=D/h=H/`;
     0 an instant column and no taker volume under `dt=D/h=H/`.
     """
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, whole)
     if key in _ARCHIVES:
         return _ARCHIVES[key]
     out = scratch_dir(spark, "archive")
+    gap, bad = (0, 0) if whole else (GAP_DAY, BAD_DAY)
     events = _events(spark, sf)
     first, last = _day_range(events)
     # A day is split over several tasks, each of which gives one file per folder. A write
@@ -402,7 +405,7 @@ def kline_archive(spark: SparkSession, sf: str) -> str:
         f"(datediff(date, DATE'{first}') DIV 5) * {FILE_SPLITS} + event_id % {FILE_SPLITS}"
     ).cast("int")
     n_splits = ((last - first).days // 5 + 1) * FILE_SPLITS
-    events = events.where(f"day(ts) <> {GAP_DAY}").selectExpr(
+    events = events.where(f"day(ts) <> {gap}").selectExpr(
         "*", "cast(ts AS date) AS date", "cast(ts AS date) AS dt", "hour(ts) DIV 12 AS h"
     )
     prices = [c.replace(_PRICE, f"CAST({_PRICE} AS string)") for c in _RAW_PRICES]
@@ -413,7 +416,7 @@ def kline_archive(spark: SparkSession, sf: str) -> str:
         rows = events.where(when).repartitionById(n_splits, split).selectExpr(*cols, *parts)
         rows.write.partitionBy(*parts).mode("append").parquet(out)
 
-    good = f"day(ts) % 5 = {{}} AND day(ts) <> {BAD_DAY}"
+    good = f"day(ts) % 5 = {{}} AND day(ts) <> {bad}"
     write(good.format(1), [*std, taker], "date")
     write(
         good.format(2),
@@ -430,17 +433,87 @@ def kline_archive(spark: SparkSession, sf: str) -> str:
         "date", "h",
     )
     write(good.format(0), ["ts", *_RAW_PRICES, f"{_VOLUME} AS volume"], "dt", "h")
-    write(f"day(ts) = {BAD_DAY}", [c for c in std if not c.endswith(" close")], "date")
+    write(f"day(ts) = {bad}", [c for c in std if not c.endswith(" close")], "date")
     _ARCHIVES[key] = out
     return out
 
 
-def _scan(spark, sf):
+def _plain_archive(spark: SparkSession, sf: str, kind: str) -> str:
+    """The ticks in one schema, under folders of one kind.
+
+    `uniform`: `date=D/`; `bare`: `D/`; `nested`: `dt=D/h=H/`; `symbols`: a folder per event
+    type; `texts`: as `uniform` with instants as texts, in a form that varies by day.
+    """
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key in _ARCHIVES:
+        return _ARCHIVES[key]
+    out = scratch_dir(spark, f"archive-{kind}")
+    time = "unix_millis(ts) AS open_time"
+    if kind == "texts":
+        forms = "array({})".format(", ".join(f"'{f}'" for f in TEXT_FORMS))
+        time = f"date_format(ts, {forms}[day(ts) % {len(TEXT_FORMS)}]) AS timestamp"
+    parts = {
+        "nested": ["cast(ts AS date) AS dt", "hour(ts) DIV 12 AS h"],
+        "symbols": ["event_type AS symbol", "cast(ts AS date) AS date"],
+    }.get(kind, ["cast(ts AS date) AS date"])
+    rows = _events(spark, sf).selectExpr(
+        time, *_RAW_PRICES, f"{_VOLUME} AS volume", f"{_TAKER} AS taker_base", *parts
+    )
+    rows.write.partitionBy(*(p.split(" AS ")[-1] for p in parts)).parquet(out)
+    if kind == "bare":
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = path(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for entry in fs.listStatus(path(out)):
+            name = entry.getPath().getName()
+            if name.startswith("date="):
+                fs.rename(entry.getPath(), path(out, name[len("date=") :]))
+    _ARCHIVES[key] = out
+    return out
+
+
+#: Forms of an instant to the second, by day of month.
+TEXT_FORMS = [
+    "yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy HH:mm:ss", "yyyyMMdd HH:mm:ss", "dd MMM yyyy HH:mm:ss",
+    "yyyy-MM-dd HH:mm:ss", "MMMM d, yyyy HH:mm:ss", "dd.MM.yyyy HH:mm:ss",
+]
+
+
+def _scan(spark, sf, whole=False):
     first, last = _day_range(_events(spark, sf))
-    archive = kline_archive(spark, sf)
+    archive = kline_archive(spark, sf, whole)
     return scan_klines(spark, archive, ["ALL"], first, last, scratch_dir(spark, "scan"))
 
 
+def _plain_scan(spark, sf, kind):
+    events = _events(spark, sf)
+    root, symbols = _plain_archive(spark, sf, kind), ["ALL"]
+    if kind == "symbols":
+        root += "/symbol={symbol}"
+        symbols = [r.event_type for r in events.select("event_type").distinct().collect()]
+    first, last = _day_range(events)
+    return _by_minute(scan_klines(spark, root, symbols, first, last, scratch_dir(spark, "scan")).ticks)
+
+
+def q_scan_hive_uniform(spark, sf):
+    return _plain_scan(spark, sf, "uniform")
+
+
+def q_scan_bare_days(spark, sf):
+    return _plain_scan(spark, sf, "bare")
+
+
+def q_scan_nested(spark, sf):
+    return _plain_scan(spark, sf, "nested")
+
+
+def q_scan_many_symbols(spark, sf):
+    return _plain_scan(spark, sf, "symbols")
+
+
+def q_ts_text_formats(spark, sf):
+    return _plain_scan(spark, sf, "texts")
+
+
 def q_layout_pick(spark, sf):
     first, last = _day_range(_events(spark, sf))
     files = day_files(spark, kline_archive(spark, sf), ["ALL"], first, last)
@@ -448,9 +521,12 @@ def q_layout_pick(spark, sf):
 
 
 def q_scan_ticks(spark, sf):
+    return _by_minute(_scan(spark, sf, whole=True).ticks)
+
+
+def _by_minute(ticks: DataFrame) -> DataFrame:
     return (
-        _scan(spark, sf)
-        .ticks.groupBy("symbol", "source_day", minute_floor(F.col("ts")).alias("minute"))
+        ticks.groupBy("symbol", "source_day", minute_floor(F.col("ts")).alias("minute"))
         .agg(
             F.count("*").alias("n"),
             F.sum("close").alias("close"),
@@ -471,8 +547,8 @@ def q_input_coverage(spark, sf):
     return input_coverage(_scan(spark, sf).inputs)
 
 
-def _run_job(spark, sf):
-    """The whole job over the archive, up to ten days past its end.
+def _run_job(spark, sf, archive):
+    """The whole job over an archive, up to ten days past its end.
 
     Days kept in seconds hold several events per instant, hence the tie-break.
     """
@@ -480,7 +556,7 @@ def _run_job(spark, sf):
     out = scratch_dir(spark, "out")
     report = run_regime_features(
         spark,
-        kline_archive(spark, sf),
+        archive,
         ["ALL"],
         f"{out}/features",
         f"{out}/bars",
@@ -493,20 +569,47 @@ def _run_job(spark, sf):
 
 
 def q_status_report(spark, sf):
-    return _run_job(spark, sf)[0]
+    return _run_job(spark, sf, kline_archive(spark, sf))[0]
 
 
 def q_regime_job(spark, sf):
-    return _run_job(spark, sf)[1].selectExpr("symbol", "date", "ts", *_feature_cols())
+    return _run_job(spark, sf, kline_archive(spark, sf, whole=True))[1].selectExpr("symbol", "date", "ts", *_feature_cols())
 
 
 def q_bar_sink(spark, sf):
-    return _run_job(spark, sf)[2].selectExpr(
+    return _run_job(spark, sf, kline_archive(spark, sf, whole=True))[2].selectExpr(
         "symbol", "date", "ts", "open", "high", "low", "close", "volume", "taker_base",
         *_rounded(9, "ret1m", "ret2_1m", "absret1m"),
     )
 
 
+def q_status_unreadable_file(spark, sf):
+    """One file of `BAD_DAY` is garbage: the days that see it are errors, all others done."""
+    archive = _broken_archive(spark, sf)
+    report = _run_job(spark, sf, archive)[0]
+    return report.select("symbol", "day", "status", "n_feat_rows")
+
+
+def _broken_archive(spark: SparkSession, sf: str) -> str:
+    key = (spark.sparkContext.applicationId, sf, "broken")
+    if key not in _ARCHIVES:
+        out = scratch_dir(spark, "archive-broken")
+        rows = _events(spark, sf).selectExpr(
+            "unix_millis(ts) AS open_time", *_RAW_PRICES, f"{_VOLUME} AS volume", "cast(ts AS date) AS date"
+        )
+        rows.write.partitionBy("date").parquet(out)
+        bad = rows.where(f"day(date) = {BAD_DAY}").select("date").distinct()
+        bad.foreach(lambda row: _spoil(out, row.date))
+        _ARCHIVES[key] = out
+    return _ARCHIVES[key]
+
+
+def _spoil(out: str, day: date) -> None:
+    system, inner = system_of(f"{out}/date={day}/garbage.parquet")
+    with system.open_output_stream(inner) as f:
+        f.write(b"this is no Parquet file")
+
+
 # --- report -----------------------------------------------------------------------
 
 

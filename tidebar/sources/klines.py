@@ -367,7 +367,8 @@ def _load(
         raw = raw.select(symbol.alias("symbol"), F.col(name).alias("day"), *[f.name for f in fields])
         return raw.where(F.col("day").between(F.lit(archive.start), F.lit(archive.end)))
 
-    if paths is None:
+    globbed = paths is None
+    if globbed:
         name = {1: "date=", 2: "dt="}[kind]
         paths = [day_glob(archive.root, archive.symbols, archive.start, archive.end, name)]
     raw = (
@@ -379,8 +380,10 @@ def _load(
     day_at = 1
     if SYMBOL in archive.root:
         symbol, day_at = F.regexp_extract(path, pattern, 1), 2
-    return raw.select(
+    raw = raw.select(
         symbol.alias("symbol"),
         F.regexp_extract(path, pattern, day_at).cast("date").alias("day"),
         *[f.name for f in fields],
-    ).where(F.col("day").between(F.lit(archive.start), F.lit(archive.end)))
+    )
+    # Chosen paths lie in the wanted days; a glob of months may not.
+    return raw.where(F.col("day").between(F.lit(archive.start), F.lit(archive.end))) if globbed else raw
