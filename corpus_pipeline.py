@@ -31,13 +31,11 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """One document, that of the smallest doc_id, of each group of near duplicates.
 
     Groups are linked by 0.8 of five-word shingles or more. Of rows with equal id and text
-    one stays; documents with a null id stay.
+    one stays; documents with a null id are near nothing else. Texts are shuffled once.
     """
     gone = near_duplicates(docs, percent=80).where(~F.col("kept")).select("doc_id").distinct()
-    rest = docs.join(gone, "doc_id", "left_anti")
-    return rest.where("doc_id is null").unionByName(
-        rest.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
-    )
+    # a merge join keeps the partitions by id, in which repeated rows meet as well
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -104,8 +104,8 @@ def sets_of(buf: np.ndarray, starts: np.ndarray, width: int) -> list[np.ndarray]
             out.append(np.unique(rolled[first[i] : first[i] + count[i] - width + 1]))
         elif count[i]:
             own = word[first[i] : first[i + 1]]
-            short = np.sum(own * weight[: len(own)], dtype=_U) + _PLACE[40 + len(own) % 20]
-            out.append(mix(np.array([short], _U)))
+            short = np.sum(own * weight[: len(own)], dtype=_U, keepdims=True)
+            out.append(mix(short + _PLACE[40 + len(own) % 20]))
         else:
             out.append(np.empty(0, _U))
     return out
