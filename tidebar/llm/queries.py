@@ -77,7 +77,12 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"
     )
     odd = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, USER, odd), (-7, 1, ASSISTANT, odd)], talks.schema)
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, USER).otherwise(ASSISTANT).alias("role"),
+        F.lit(odd).alias("text"),
+    )
     out = render(messages(as_events(talks.unionByName(extra))))
     turns = parse(F.col("formatted"))
     line = F.array_join(

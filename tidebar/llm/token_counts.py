@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidebar.llm.units import SPACE, Units
+from tidebar.session import materialize, scratch_dir
 
 CACHE_SCHEMA = "digest binary, n_tokens long"
 LIMIT = 4096
@@ -74,6 +75,8 @@ def token_counts(docs: DataFrame, model: str, cache: str, limit: int = LIMIT) ->
     misses.write.mode("append").parquet(path)
     stored = spark.read.schema(CACHE_SCHEMA).parquet(path)
     stored = stored.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # a table, so that the join can split the rows of a text that very many documents share
+    stored = materialize(stored, scratch_dir(spark, "counts"))
     rows = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), digest)
     return rows.join(stored, "digest", "left").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")

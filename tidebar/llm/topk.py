@@ -338,6 +338,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20) -> DataFrame:
     best = Window.partitionBy("key").orderBy(F.desc("score"), "least")
     found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
     lists = found.groupBy("key").agg(F.collect_list(F.struct("score", "ids")).alias("found"))
+    # a table, so that the join can split the queries of a vector that very many share
+    lists = materialize(lists, scratch_dir(spark, "found"))
     matched = asked.select("query_id", "key").distinct().join(lists, "key")
     ranked = F.expr(
         f"""slice(array_sort(filter(flatten(transform(found,

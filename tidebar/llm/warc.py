@@ -36,6 +36,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from tidebar.session import materialize, scratch_dir
+
 #: Columns of a record: what the headers say, then the payload.
 SCHEMA = (
     "record_type string, record_id string, target_uri string, date string, page_id long, "
@@ -344,6 +346,8 @@ def page_records(pages: DataFrame) -> DataFrame:
         digest_column(payload).alias("payload_digest"),
     )
     first = own.groupBy("payload_digest").agg(F.min("page_id").alias("first_id"))
+    # a table, so that the join can split the pages of a payload that very many share
+    first = materialize(first, scratch_dir(pages.sparkSession, "digests"))
     revisit = ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return own.join(first, "payload_digest").select(
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
