@@ -69,7 +69,7 @@ def main() -> int:
     spark.sparkContext.setLogLevel("OFF")
     con, failed, sqls = connect(sf_dir), 0, oracle_sql()
     for name, query in queries().items():
-        if names and name not in names:
+        if name not in sqls or names and name not in names:
             continue
         began = time.time()
         try:
