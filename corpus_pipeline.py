@@ -16,7 +16,8 @@ from tidebar.llm.pieces import encode
 from tidebar.llm.queries import piece_model
 from tidebar.session import materialize, scratch_dir
 
-#: Documents whose best language scores less are rejected, as are those without one.
+#: Documents whose best language scores less are rejected, as are those in no learned language,
+#: which `predict` scores 0.
 LEAST_SCORE = 0.2
 
 

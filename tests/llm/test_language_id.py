@@ -68,3 +68,27 @@ def test_odd_rows(spark, docs):
     assert [r.lang_pred for r in predict(df, None).collect()] == ["und"] * 4
     assert identify(df.limit(0)).collect() == []
     assert fit(df.where("doc_id = 3").withColumn("lang", df.text.substr(1, 0))) is not None
+
+
+UNLEARNED = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+    "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق. وقد وهبوا عقلا وضميرا",
+    "xkcdq wrtzp bnmvk qwrtp lkjhg fdszx " * 4,
+]
+
+
+def test_unlearned_languages_go_and_held_out_documents_stay(spark, docs):
+    import corpus_pipeline
+
+    rows = [(-1 - i, t) for i, t in enumerate(UNLEARNED)] + [(-100 - i, t * 400) for i, t in enumerate(UNLEARNED)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string")
+    both = docs.unionByName(odd, allowMissingColumns=True)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, both, SF).select("doc_id").collect()}
+    assert not [i for i in kept if i < 0]
+    held = {r.doc_id for r in docs.where(language_id.held_out(docs.doc_id) & docs.lang.isNotNull()).collect()}
+    assert held and held <= kept

@@ -4,6 +4,8 @@ A text is the set of its n-grams of 1 to `ORDERS` characters, over lower-case le
 everything else as a space, hashed to `DIMENSIONS`. The kernel of two texts is the number of
 n-grams they share over the geometric mean of their own numbers. Landmark texts stand for the
 kernel matrix; one ridge regression per language, against the rest, is solved in their space.
+The regression only tells languages apart. Whether a text is in one at all is judged by its
+likeness to that language's landmarks, against the likeness that labelled texts have.
 """
 
 from __future__ import annotations
@@ -26,6 +28,10 @@ DIMENSIONS = 1 << 14
 PER_LANGUAGE = 250
 LANDMARKS = 96
 RIDGE = 0.1
+#: A text is in no learned language below this share of its best language's usual least
+#: likeness, which is this quantile of the labelled sample.
+LEAST_SHARE = 0.65
+LEAST_QUANTILE = 0.01
 NO_LANGUAGE = "und"
 
 _WINDOW = 1 << 20
@@ -70,18 +76,27 @@ def presence(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """Landmark presence as bits, their sizes, and weights of kernel values by language."""
+    """Landmark presence as bits, the index of each one's language, weights of kernel values
+    by language, and each language's least likeness."""
 
     languages: list[str]
     landmarks: np.ndarray
+    owners: np.ndarray
     weights: np.ndarray
+    least: np.ndarray
 
     def predict(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index of the language, score from 0 to 1) of each presence row."""
+        """(index of the language, score from 0 to 1) of each presence row.
+
+        The score is 0 if the text is too unlike the landmarks of its best language.
+        """
         marks = np.unpackbits(self.landmarks, axis=1).astype(np.float32)
-        values = kernel(rows, marks) @ self.weights
+        shared = kernel(rows, marks)
+        values = shared @ self.weights
         best = values.argmax(1)
-        return best, np.clip((values[np.arange(len(best)), best] + 1) / 2, 0, 1)
+        at = np.arange(len(best)), best
+        like = likeness(rows, marks, shared, self.owners)[at]
+        return best, np.where(like < self.least[best], 0.0, np.clip((values[at] + 1) / 2, 0, 1))
 
 
 def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -89,6 +104,17 @@ def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a @ b.T).astype(np.float64) / size
 
 
+def likeness(rows: np.ndarray, marks: np.ndarray, shared: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """Mean likeness of each row to each language's landmarks; `shared` are the kernel values.
+
+    It is the kernel value, but for a text of fewer n-grams than a landmark the share of the
+    text's own n-grams, which does not fall with the text's length.
+    """
+    own, size = np.maximum(rows.sum(1), 1), np.maximum(marks.sum(1), 1)
+    like = shared * np.sqrt(np.maximum(size[None, :] / own[:, None], 1))
+    return np.stack([like[:, owners == i].mean(1) for i in range(owners.max() + 1)], axis=1)
+
+
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, _ROWS):
@@ -135,31 +161,38 @@ def fit(docs: DataFrame) -> Model | None:
     languages = sorted(by_language)
     each = max(1, LANDMARKS // len(languages))
     landmarks = np.stack([x for lang in languages for x in by_language[lang][:each]])
+    owners = np.array([i for i, lang in enumerate(languages) for _ in by_language[lang][:each]])
     marks = np.unpackbits(landmarks, axis=1).astype(np.float32)
     values, vectors = np.linalg.eigh(kernel(marks, marks))
     use = values > 1e-8 * values.max()
     whiten = vectors[:, use] / np.sqrt(values[use])
     square = np.zeros((whiten.shape[1],) * 2)
     cross = np.zeros((whiten.shape[1], len(languages)))
+    least = np.zeros(len(languages))
     total = sum(len(x) for x in by_language.values())
     for i, lang in enumerate(languages):
         own = by_language[lang]
         rows = np.unpackbits(np.stack(own), axis=1).astype(np.float32)
-        mapped = kernel(rows, marks) @ whiten
+        shared = kernel(rows, marks)
+        mapped = shared @ whiten
+        # landmarks are like themselves, so they count only if there are no other rows
+        rest = slice(each if len(own) > each else 0, None)
+        like = likeness(rows[rest], marks, shared[rest], owners)[:, i]
+        least[i] = LEAST_SHARE * np.quantile(like, LEAST_QUANTILE)
         weight = total / (len(languages) * len(own))  # as if languages were of equal number
         target = np.where(np.arange(len(languages)) == i, 1.0, -1.0)
         square += weight * mapped.T @ mapped
         cross += weight * mapped.sum(0)[:, None] * target
     solved = np.linalg.solve(square + RIDGE * np.eye(len(square)), cross)
-    return Model(languages, landmarks, whiten @ solved)
+    return Model(languages, landmarks, owners, whiten @ solved, least)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """`docs` with lang_pred and score as last columns, from the whole text alone.
 
     lang_pred is a learned value of `lang`, the alphabetically first of equal ones, or `und`
-    with score 0 if the text is null or has no letter, or if there is no model. Columns of
-    the two names are replaced; all others and repeated rows are kept.
+    with score 0 if the text is null, has no letter or is in no learned language, as far as
+    n-grams tell, or if there is no model. Columns of the two names are replaced; all others and repeated rows are kept.
     """
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     at = place(docs, "text", ("lang_pred", "score"))
@@ -174,8 +207,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 if model:
                     rows, letters = presence(texts)
                     best, value = model.predict(rows)
-                    lang = [model.languages[b] if ok else NO_LANGUAGE for b, ok in zip(best, letters, strict=True)]
                     score = np.where(letters, value, 0.0)
+                    lang = [model.languages[b] if s > 0 else NO_LANGUAGE for b, s in zip(best, score, strict=True)]
                 yield appended(part, pa.array(lang, pa.string()), pa.array(score))
 
     return map_batches(docs, run, added)
