@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidebar.llm import decontaminate
-from tidebar.llm.decontaminate import RATIO, find_items, myers, normal, pieces, without_items
+from tidebar.llm.decontaminate import find_items, myers, normal, pieces, without_items
 
 
 def sellers(pattern, text, most):
@@ -64,7 +64,7 @@ def test_all_near_passages_are_found(spark, monkeypatch, block):
     for key, text in docs:
         for item, passage in items:
             p, t = normal(passage), normal(text)
-            if item is not None and p and t and (hit := sellers(p, t, int(len(p) * RATIO))):
+            if item is not None and p and t and (hit := sellers(p, t, int(len(p) * 0.1))):
                 want.append((key, item, *hit))
     d = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, item_id int, `a.b` string").repartition(3)
     b = spark.createDataFrame(items, "item_id int, text string")
@@ -75,3 +75,20 @@ def test_all_near_passages_are_found(spark, monkeypatch, block):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in docs if i not in dirty)
     assert find_items(d.limit(0), b).collect() == [] and find_items(d, b.limit(0)).collect() == []
     assert without_items(d, b.limit(0)).count() == len(docs)
+
+
+def test_a_tenth_of_an_item_may_differ(spark):
+    rng = random.Random(3)
+    for size in (81, 233):
+        item = "".join(rng.choice("abcdefgh") for _ in range(size - 2))
+        most = size // 10
+        docs = []
+        for n in (most, most + 1):
+            text = list(item)
+            for i in range(n):
+                text[1 + i * (size - 3) // n] = "z"
+            docs.append((n, "before it " + "".join(text) + " after it"))
+        d = spark.createDataFrame(docs, "doc_id int, text string")
+        b = spark.createDataFrame([(1, item)], "item_id int, text string")
+        assert [(r.doc_id, r.distance) for r in find_items(d, b).collect()] == [(most, most)]
+        assert [r.doc_id for r in without_items(d, b).collect()] == [most + 1]

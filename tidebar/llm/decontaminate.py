@@ -1,9 +1,10 @@
 """Benchmark passages in documents, up to a share of edits: pieces, exact hits, Myers distance.
 
-A test item of n characters may differ in k = n * `RATIO` of them. Cut into k + 1 pieces, one
-piece at least stands unchanged in any such copy. All pieces are found in one pass over a
-text, and the stretch that a hit implies is verified by bit-parallel edit distance. Items and
-texts are compared as lower-case words with single spaces.
+A test item of n characters may differ in k = n * `RATIO` of them. Cut into k + m pieces, m
+pieces at least stand unchanged in any such copy, and the starts that they imply lie within k
+of each other. All pieces are found in one pass over a text, and a stretch that m pieces imply
+together is verified by bit-parallel edit distance. Items and texts are compared as lower-case
+words with single spaces.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidebar.llm.frames import map_batches, place
 
-RATIO = 0.07
+RATIO = 0.1
 #: Characters of test items that tasks hold at once; larger benchmarks go in several passes.
 BLOCK_CHARS = 4_000_000
 
@@ -64,6 +65,36 @@ def myers(masks: dict[str, int], length: int, text: str, most: int) -> tuple[int
     return best
 
 
+def intact(errors: int) -> int:
+    """How many pieces must stand unchanged: two, unless an item is too short for more pieces."""
+    return 1 if errors < 3 else 2
+
+
+def agreeing(found: list[tuple[int, int]], most: int, need: int) -> list[int]:
+    """The starts, in order, that `need` pieces imply within `most` of each other.
+
+    found: (start, place of the piece in the item) of each hit.
+    """
+    found = sorted(found)
+    if need == 1:
+        return [start for start, _ in found]
+    out = []
+    count: dict[int, int] = defaultdict(int)
+    first = done = 0
+    for last, (start, place) in enumerate(found):
+        count[place] += 1
+        while found[first][0] < start - most:
+            old = found[first][1]
+            count[old] -= 1
+            if not count[old]:
+                del count[old]
+            first += 1
+        if len(count) >= need:
+            out += [s for s, _ in found[max(first, done) : last + 1]]
+            done = last + 1
+    return out
+
+
 class Items:
     """Test items ready for search. items: (id, normal text) pairs."""
 
@@ -77,6 +108,7 @@ class Items:
         self.texts = sorted(same)
         self.keys = [sorted(same[t]) for t in self.texts]
         self.errors = [int(len(t) * ratio) for t in self.texts]
+        self.need = [intact(k) for k in self.errors]
         self.masks: list[dict[str, int]] = []
         where = defaultdict(list)
         for n, text in enumerate(self.texts):
@@ -84,7 +116,7 @@ class Items:
             for i, char in enumerate(text):
                 mask[char] |= 1 << i
             self.masks.append(dict(mask))
-            for place, piece in pieces(text, self.errors[n]):
+            for place, piece in pieces(text, self.errors[n] + self.need[n] - 1):
                 where[piece].append((n, place))
         self.automaton = ahocorasick.Automaton()
         for piece, at in where.items():
@@ -96,15 +128,17 @@ class Items:
         """(item id, least distance, end of its first place) of each item in a normal text."""
         if not text or not self.texts:
             return []
-        starts = defaultdict(set)
+        starts = defaultdict(list)
         for end, (size, at) in self.automaton.iter(text):
             for n, place in at:
-                starts[n].add(end + 1 - size - place)
+                starts[n].append((end + 1 - size - place, place))
         out = []
         for n, found in starts.items():
+            if len(found) < self.need[n]:
+                continue
             slack, length, best = self.errors[n], len(self.texts[n]), None
             spans: list[list[int]] = []
-            for start in sorted(found):
+            for start in agreeing(found, slack, self.need[n]):
                 a, b = max(0, start - slack), min(len(text), start + length + slack)
                 if spans and a <= spans[-1][1]:
                     spans[-1][1] = b
