@@ -2,6 +2,8 @@
 
 import random
 import re
+import re._parser as parser
+from dataclasses import replace
 
 from tidebar.llm.licenses import BASE, rules, scan
 from tidebar.llm.queries import op4_license_scan
@@ -78,3 +80,36 @@ def test_random_mixtures(spark):
 def test_whole_table(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     check(op4_license_scan(spark, SF).collect(), texts)
+
+
+def alternatives(parsed):
+    """Texts that a parsed expression matches; each alternative of each part is in one at least."""
+    parts = []
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            parts.append([chr(arg)])
+        elif name == "IN":
+            parts.append([chr(a) if str(o) == "LITERAL" else chr(a[0]) if str(o) == "RANGE" else "x" for o, a in arg])
+        elif name == "MAX_REPEAT":
+            parts.append([""] * (arg[0] == 0) + alternatives(arg[2]))
+        elif name == "SUBPATTERN":
+            parts.append(alternatives(arg[3]))
+        elif name == "BRANCH":
+            parts.append([t for branch in arg[1] for t in alternatives(branch)])
+        else:
+            assert name in ("ASSERT", "ASSERT_NOT")
+    most = max(map(len, parts), default=1)
+    return ["".join(p[i % len(p)] for p in parts) for i in range(most)]
+
+
+def test_keywords_lose_no_hit(spark, monkeypatch):
+    every = rules()
+    texts = dict(enumerate(sorted({t for r in every for t in alternatives(parser.parse(r.pattern))})))
+    texts |= {-1: "licensed under the Expat license", -2: "Licenced under", -3: "terms of the GNU Library General Public Licence"}
+    assert all(r.keyword in t for r in every for t in alternatives(parser.parse(r.pattern)))
+    monkeypatch.setitem(globals(), "rules", lambda: [replace(r, keyword="") for r in every])
+    rows = scan(spark.createDataFrame(list(texts.items()), "doc_id int, text string").repartition(8)).collect()
+    check(rows, texts)
+    labels = {r.doc_id: r.labels.split(",") for r in rows}
+    assert "mit" in labels[-1] and labels[-2] == ["other"] and "lgpl" in labels[-3]

@@ -20,9 +20,9 @@ BASE = {
     "cc by nc": "cc-by-nc",
 }
 
-#: Families: label, keyword that must occur in the words, expression for the name.
+#: Families: label, keyword that all hits of the name hold, expression for the name.
 FAMILIES = [
-    ("agpl-3", "affero", r"gnu affero general public licen[cs]e(?: v(?:ersion )?3)?|agpl ?v?3"),
+    ("agpl-3", "affero", r"gnu affero general public licen[cs]e(?: v(?:ersion )?3)?"),
     ("agpl-3", "agpl", r"agpl(?: ?v?3)?(?: 0)?(?: only| or later)?"),
     ("apache-1", "apache", r"apache(?: software)? licen[cs]e v(?:ersion )?1(?: [01])?|apache 1(?: [01])?"),
     ("apache-2", "apache", r"apache(?: software)?(?: licen[cs]e)?(?: v(?:ersion)?)? ?2(?: 0)?"),
@@ -57,10 +57,12 @@ FAMILIES = [
     ("gpl-2", "gpl", r"(?:gnu )?gpl ?v?(?:ersion )?2(?: 0)?(?: only| or later)?"),
     ("gpl-3", "gpl", r"(?:gnu )?gpl ?v?(?:ersion )?3(?: 0)?(?: only| or later)?"),
     ("isc", "isc", r"isc"),
-    ("lgpl", "lesser", r"gnu (?:lesser|library) general public licen[cs]e"),
+    ("lgpl", "lesser", r"gnu lesser general public licen[cs]e"),
+    ("lgpl", "library", r"gnu library general public licen[cs]e"),
     ("lgpl-2.1", "lgpl", r"(?:gnu )?lgpl ?v?(?:ersion )?2(?: [01])?(?: only| or later)?"),
     ("lgpl-3", "lgpl", r"(?:gnu )?lgpl ?v?(?:ersion )?3(?: 0)?(?: only| or later)?"),
-    ("mit", "mit", r"(?:mit|expat)"),
+    ("mit", "mit", r"mit"),
+    ("mit", "expat", r"expat"),
     ("mit-0", "mit", r"mit 0|mit no attribution"),
     ("mpl-1.1", "mozilla", r"mozilla public licen[cs]e(?: v(?:ersion)?)? ?1(?: 1)?"),
     ("mpl-2", "mozilla", r"mozilla public licen[cs]e(?: v(?:ersion)?)? ?2(?: 0)?"),
@@ -87,7 +89,7 @@ FORMS = [
     (r"(?:NAME) licen[cs]e[ds]?", 0.7),
 ]
 
-#: Rules without a family: label, keyword, expression, score; they rank below all forms.
+#: Rules without a family: label, keyword that all hits hold, expression, score; they rank below all forms.
 OTHERS = [
     ("mit", "permission", r"permission is hereby granted free of charge to any person obtaining a copy", 0.9),
     ("bsd", "redistribution", r"redistribution and use in source and binary forms", 0.9),
@@ -97,7 +99,7 @@ OTHERS = [
     ("all-rights-reserved", "reserved", r"all rights reserved", 0.5),
     ("proprietary", "proprietary", r"proprietary (?:and confidential|licen[cs]e)", 0.6),
     ("copyleft", "copyleft", r"copyleft", 0.4),
-    ("other", "license", r"licen[cs]ed under", 0.2),
+    ("other", "licen", r"licen[cs]ed under", 0.2),
 ]
 
 #: Without one of these no rule and no phrase can hit.
