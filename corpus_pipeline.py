@@ -32,11 +32,13 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """One document, that of the smallest doc_id, of each group of near duplicates.
 
     Groups are linked by 0.8 of five-word shingles or more. Of rows with equal id and text
-    one stays; documents with a null id are near nothing else. Texts are shuffled once.
+    one stays; documents with a null id all stay. Texts are shuffled once, theirs never.
     """
     gone = near_duplicates(docs, percent=80).where(~F.col("kept")).select("doc_id").distinct()
+    known = docs.where(F.col("doc_id").isNotNull())
     # a merge join keeps the partitions by id, in which repeated rows meet as well
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    kept = known.join(gone.hint("merge"), "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from test_minhash import components
 import corpus_pipeline
 from tidebar.llm.decontaminate import normal
 from tidebar.llm.language_id import fit, presence
+from tidebar.llm.minhash import near_duplicates
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,3 +54,17 @@ def test_stages_keep_columns_and_rows_with_nulls(spark):
         docs = stage(spark, docs, SF)
         assert docs.columns == base.columns
     assert docs.where("doc_id is null").count() == 1
+
+
+def test_rows_with_null_ids_are_near_nothing(spark):
+    base = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    text = "one two three four five six seven eight nine ten"
+    odd = [(None, text), (None, text), (-5, text), (-5, text), (-4, text)]
+    docs = base.unionByName(spark.createDataFrame(odd, "doc_id long, text string"), allowMissingColumns=True)
+    rows = near_duplicates(docs, percent=80).where("doc_id is null or doc_id < 0").collect()
+    want = [(-5, -5, True)] * 2 + [(-4, -5, False)] + [(None, None, True)] * 2
+    got = [(r.doc_id, r.component_id, r.kept) for r in rows]
+    assert sorted(got, key=lambda r: (r[0] is None, r[0] or 0)) == want
+    out = corpus_pipeline.minhash_dedup(spark, docs, SF)
+    ids = [r.doc_id for r in out.where("doc_id is null or doc_id < 0").collect()]
+    assert sorted(ids, key=str) == [-5, None, None]

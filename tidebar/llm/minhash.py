@@ -279,7 +279,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     return out.select(
         "doc_id",
         "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id"))
+        F.when(
+            (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")
+        )
         .otherwise(F.col("doc_id"))
         .alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
