@@ -71,3 +71,8 @@ def test_pages_without_labels_nulls_and_extra_columns(spark):
     got = sorted(map(tuple, extract(df).collect()), key=repr)
     assert got == sorted([(1, "u", LONG.strip(), 149), (None, None, "", 0), (1, "u", "", 0)], key=repr)
     assert extract(df.limit(0)).collect() == []
+
+
+def test_formulas_stay():
+    html = f"<article><p>{LONG}so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds {LONG}</p></article>"
+    assert main_text(html, WEIGHTS) == f"{LONG}so x=2 holds {LONG.strip()}"

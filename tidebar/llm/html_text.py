@@ -30,7 +30,7 @@ _RAW = frozenset("script style textarea title xmp noembed noframes iframe".split
 #: Elements that never hold main text.
 _ASIDE = frozenset(
     "script style noscript template head title nav footer aside form button select option "
-    "textarea iframe object canvas svg math audio video dialog menu noembed noframes xmp datalist".split()
+    "textarea iframe object canvas svg audio video dialog menu noembed noframes xmp datalist".split()
 )
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
@@ -39,7 +39,9 @@ _BLOCKS = frozenset(
 )
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br button cite code data del dfn em font i img input ins kbd label "
-    "link mark meta q s samp script small span strike strong style sub sup td th time tt u var wbr".split()
+    "link mark meta q s samp script small span strike strong style sub sup td th time tt u var wbr "
+    "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms "
+    "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics annotation".split()
 )
 #: Blocks that cannot stand in a paragraph; their start ends an open one.
 _ENDS_P = _BLOCKS - frozenset("body head html title tr tbody thead tfoot caption option optgroup".split())
