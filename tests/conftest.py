@@ -22,8 +22,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def by(df, *order):
-    """Rows as plain tuples in a fixed order."""
-    return [tuple(r) for r in df.orderBy(*order).collect()]

@@ -5,8 +5,8 @@ import random
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import by
 from pyspark.sql import functions as F
+from rows import by
 
 from tidebar.operators.bars import clip_to_day, day_bars, minute_bars, with_returns
 from tidebar.schema import BAR_COLS
