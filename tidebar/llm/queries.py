@@ -11,6 +11,7 @@ from tidebar.llm.chat import ASSISTANT, USER, as_events, masked, messages, parse
 from tidebar.llm.decontaminate import find_items
 from tidebar.llm.html_text import extract
 from tidebar.llm.language_id import identify
+from tidebar.llm.lexical import ranked
 from tidebar.llm.licenses import scan
 from tidebar.llm.minhash import near_duplicates
 from tidebar.llm.pieces import encode_and_decode
@@ -120,6 +121,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
@@ -132,11 +137,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_html_extraction": op9_html_extraction,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op13_ranked_lexical_search": op13_ranked_lexical_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_top_k": _TOP_K, "op2_warc": _warc_sql(), "op5_chat_format": _chat_sql()}
+    return {
+        "op1_exact_top_k": _TOP_K,
+        "op2_warc": _warc_sql(),
+        "op5_chat_format": _chat_sql(),
+        "op13_ranked_lexical_search": _LEXICAL,
+    }
 
 
 _TOP_K = """
@@ -192,3 +203,32 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
     sha256(loss) AS loss_sha256, CAST(n AS BIGINT) AS formatted_chars
 FROM g
 """
+
+
+_TERMS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+_LEXICAL = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS t FROM documents),
+s AS (SELECT count(*) AS docs, CAST(sum(len(t)) AS BIGINT) AS length FROM d WHERE len(t) > 0),
+i AS (
+    SELECT item_id, term, count(*) AS times
+    FROM (SELECT item_id, unnest({_TERMS}) AS term
+        FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL))
+    GROUP BY item_id, term
+), c AS (
+    SELECT row, doc_id, n, term, count(*) AS tf
+    FROM (SELECT row, doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY row, doc_id, n, term
+), w AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM c, s GROUP BY term, docs
+), x AS (
+    SELECT item_id, row, doc_id,
+        CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // length)))) AS BIGINT) AS score
+    FROM c JOIN i USING (term) JOIN w USING (term), s WHERE doc_id IS NOT NULL
+    GROUP BY item_id, row, doc_id
+)
+SELECT item_id, CAST(row_number() OVER o AS INTEGER) AS rank, doc_id, score
+FROM x WHERE score > 0 WINDOW o AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY row_number() OVER o <= 10
+"""
