@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidebar.llm.chat import ASSISTANT, USER, as_events, masked, messages, parse, render
 from tidebar.llm.decontaminate import find_items
+from tidebar.llm.hard_negatives import hard_negatives
 from tidebar.llm.html_text import extract
 from tidebar.llm.language_id import identify
 from tidebar.llm.lexical import ranked
@@ -121,6 +122,13 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").where("vec_id is not null and label is not null")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), quantized(F.col("embedding"), 256).alias("vector"))
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 10)
 
@@ -137,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_html_extraction": op9_html_extraction,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_ranked_lexical_search": op13_ranked_lexical_search,
     }
 
@@ -146,6 +155,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_exact_top_k": _TOP_K,
         "op2_warc": _warc_sql(),
         "op5_chat_format": _chat_sql(),
+        "op12_hard_negatives": _HARD_NEGATIVES,
         "op13_ranked_lexical_search": _LEXICAL,
     }
 
@@ -232,3 +242,27 @@ SELECT item_id, CAST(row_number() OVER o AS INTEGER) AS rank, doc_id, score
 FROM x WHERE score > 0 WINDOW o AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
 QUALIFY row_number() OVER o <= 10
 """
+
+
+_HARD_NEGATIVES = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same,
+        CAST(list_inner_product(CAST(a.x AS DOUBLE[]), CAST(r.x AS DOUBLE[])) AS BIGINT) AS score
+    FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank,
+    s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 3
+"""
