@@ -18,6 +18,7 @@ from tidebar.llm.minhash import near_duplicates
 from tidebar.llm.pieces import encode_and_decode
 from tidebar.llm.token_counts import token_counts
 from tidebar.llm.topk import quantized, top_k
+from tidebar.llm.url_filters import judge
 from tidebar.llm.warc import digest_column, read_warc, write_pages
 from tidebar.session import scratch_dir
 
@@ -122,6 +123,22 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+#: Rules of the query: host, path, verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages judged by the rules; redirects are the canonical and refresh links of the pages."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge(_table(spark, sf_dir, "pages"), rules)
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings").where("vec_id is not null and label is not null")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -145,6 +162,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_html_extraction": op9_html_extraction,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op11_url_filters": op11_url_filters,
         "op12_hard_negatives": op12_hard_negatives,
         "op13_ranked_lexical_search": op13_ranked_lexical_search,
     }
@@ -155,6 +173,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_exact_top_k": _TOP_K,
         "op2_warc": _warc_sql(),
         "op5_chat_format": _chat_sql(),
+        "op11_url_filters": _URL_FILTERS,
         "op12_hard_negatives": _HARD_NEGATIVES,
         "op13_ranked_lexical_search": _LEXICAL,
     }
@@ -266,3 +285,25 @@ FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
 QUALIFY row_number() OVER w <= 3
 """
+
+
+#: No page of the tables names another address, so rules alone decide; `tests/llm` covers links.
+_URL_FILTERS = r"""
+WITH p AS (
+    SELECT page_id,
+        translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages
+), r(domain, start, verdict) AS (
+    VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+        ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), h AS (
+    SELECT p.page_id, arg_max(domain || start, length(domain || start)) AS rule,
+        arg_max(verdict, length(domain || start)) AS verdict
+    FROM p JOIN r ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, start)
+    GROUP BY p.page_id
+)
+SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM p LEFT JOIN h ON p.page_id = h.page_id
+"""
