@@ -86,6 +86,8 @@ def fitting_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     hosts = urls.select("host").distinct().select("host", F.explode(names).alias("domain"))
     tries = hosts.join(sizes, "domain").groupBy("host")
     tries = tries.agg(F.collect_list(F.struct("domain", "sizes")).alias("tries"))
+    # a table, so that the join can split the addresses of a host that very many have
+    tries = materialize(tries, scratch_dir(urls.sparkSession, "hosts"))
     tried = F.expr(
         """flatten(transform(tries, t -> transform(filter(t.sizes, n -> n <= length(path)),
             n -> named_struct('domain', t.domain, 'start', left(path, n)))))"""
@@ -187,7 +189,7 @@ def judge(pages: DataFrame, rules: DataFrame, links: DataFrame | None = None) ->
     by_root = said.join(roots, "node").groupBy("root").agg(
         F.bool_or(F.col("verdict") == BLOCK).alias("blocked"), F.bool_or(F.col("verdict") == ALLOW).alias("allowed")
     )
-    blocked = by_root.where("blocked and not allowed")
+    blocked = materialize(by_root.where("blocked and not allowed"), scratch_dir(spark, "blocked"))
     aliases = roots.join(blocked, "root", "left_semi").select("node", F.lit(BLOCK).alias("passed"))
     aliases = materialize(aliases, scratch_dir(spark, "aliases"))
 
