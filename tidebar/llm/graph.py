@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebar.session import materialize, scratch_dir
+from tidebar.session import drop_path, materialize, scratch_dir
+
+#: Parts, a power of two, that a node's neighbours are dealt to.
+SALTS = 64
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -14,29 +17,46 @@ def _mark(edges: DataFrame) -> tuple:
     )
 
 
+def _with_least(pairs: DataFrame) -> DataFrame:
+    """(u, v) with the least v of each u as `m`; no task gets all of one u's rows.
+
+    Rows are dealt by u and a hash of v. Each such part gives one row, of which a u has at
+    most `SALTS`; these alone meet by u, and the minimum goes back to the parts.
+    """
+    known = pairs.where("u is not null and v is not null")
+    salted = known.withColumn("part", F.xxhash64("v").bitwiseAND(SALTS - 1)).repartition("u", "part")
+    parts = salted.groupBy("u", "part").agg(F.min("v").alias("own"))
+    least = parts.groupBy("u").agg(F.min("own").alias("m"))
+    # all three take the same columns of `salted`, so that one exchange serves them
+    spread = parts.join(least, "u").select("u", "part", F.least("own", "m").alias("m"))
+    return salted.join(spread, ["u", "part"]).select("u", "v", "m")
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node with an edge; root is the smallest node it can reach.
 
     Each round links every node's larger neighbours to its smallest neighbour, then every
     node's smaller neighbours to the smallest of them, until nothing changes. A node's
-    neighbours never come together in one row or task: their minimum is aggregated before
-    the shuffle and joined back. Rounds are cut by tables in the shared folder. Nulls and
-    self-loops are ignored; repeated edges count once; no edges give an empty table.
+    neighbours never come together in one row or task, however many it has. Rounds are cut by
+    tables in the shared folder, of which only the last one stays. Nulls and self-loops are
+    ignored; repeated edges count once; no edges give an empty table.
     """
     spark = edges.sparkSession
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     now = now.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") > F.col("v")))
-    now = materialize(now.distinct(), scratch_dir(spark, "edges"))
+    path = scratch_dir(spark, "edges")
+    now = materialize(now.distinct(), path)
     mark = _mark(now)
     while mark[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), "m").distinct()
-        small = large.groupBy("u").agg(F.min("m").alias("w"))
-        moved = large.join(small, "u").where("m > w").select(F.col("m").alias("u"), "w")
-        moved = moved.unionByName(small).toDF("u", "v").distinct()
-        now = materialize(moved, scratch_dir(spark, "edges"))
+        large = _with_least(both).where("v > u")
+        large = large.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        moved = _with_least(large)
+        # a node's own row comes from the row of its least neighbour
+        moved = moved.select(F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"))
+        old, path = path, scratch_dir(spark, "edges")
+        now = materialize(moved.distinct(), path)
+        drop_path(spark, old)
         before, mark = mark, _mark(now)
         if mark == before:
             break
