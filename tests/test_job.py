@@ -354,6 +354,31 @@ def test_unreadable_files_fail_their_days_alone(spark, archive, tmp_path):
         scan(spark, archive, 8, 8)
 
 
+def test_damaged_pages_fail_their_days_alone(spark, tmp_path):
+    """Pages that cannot be decoded under a good footer; one row group of two stays whole."""
+    r = str(tmp_path / "in")
+    for k in (0, 1, 2, 12):
+        put(klines(k, 20), r, f"date={day(k)}", "x.parquet")
+    for k in (3, 8):
+        put(klines(k), r, f"date={day(k)}", "x.parquet", row_group_size=5)
+        path = os.path.join(r, f"date={day(k)}", "x.parquet")
+        with open(path, "rb") as f:
+            whole = f.read()
+        second = pq.ParquetFile(path).metadata.row_group(1).column(0)
+        start = 4 if k == 8 else min(x for x in (second.dictionary_page_offset, second.data_page_offset) if x)
+        end = len(whole) - 8 - int.from_bytes(whole[-8:-4], "little")
+        with open(path, "wb") as f:
+            f.write(whole[:start] + b"\xff" * (end - start) + whole[end:])
+    report = {x.day: x for x in run(spark, r, tmp_path / "out").collect()}
+    bad = {day(k + i) for k in (3, 8) for i in range(4)}
+    assert {d for d, x in report.items() if x.status == "error"} == bad
+    assert report[day(3)].error == f"{day(3)}: damaged files: 5 of 10 rows cannot be read"
+    assert report[day(9)].error == f"{day(8)}: damaged files: 10 of 10 rows cannot be read"
+    assert report[day(2)].n_feat_rows == 20 and report[day(12)].n_feat_rows == 20
+    written = {r.date for r in spark.read.parquet(f"{tmp_path}/out/f").select("date").distinct().collect()}
+    assert written == {day(k) for k in (0, 1, 2, 12)}
+
+
 TEXTS = {
     "slash": "%Y/%m/%d %H:%M:%S", "month_first": "%m/%d/%Y %H:%M:%S", "compact": "%Y%m%d %H:%M:%S",
     "named": "%d %b %Y %H:%M", "iso": "%Y-%m-%dT%H:%M:%S", "long": "%B %d, %Y %H:%M:%S",

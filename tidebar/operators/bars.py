@@ -91,28 +91,47 @@ def day_bars(ticks: DataFrame, tie_break: bool = False) -> DataFrame:
     first return). So the former are dropped and the latter share one bucket, which
     bounds every window group at 1,441 rows however many stray rows a day carries.
     """
+    early = utc_day_number(F.col("ts")) <= F.unix_date("source_day")
+    return bars_of(counted_bars(drop_null_ts(ticks).where(early), tie_break))
+
+
+def bars_of(counted: DataFrame) -> DataFrame:
+    """The bars among the rows of `counted_bars`."""
+    return counted.where(F.col("ts") >= day_start(F.col("source_day"))).select(*BAR_COLS)
+
+
+def rows_met(counted: DataFrame) -> DataFrame:
+    """(symbol, source_day, n_rows): how many rows `counted_bars` was given of each day."""
+    return counted.groupBy(*KEYS).agg(F.sum("n").alias("n_rows"))
+
+
+def counted_bars(ticks: DataFrame, tie_break: bool = False) -> DataFrame:
+    """The bars of `day_bars`, and besides them a row per day for what lies before the day and
+    one, of no minute, for what lies after it or has no instant; `n` counts every row's ticks.
+
+    So one pass over raw rows gives both the bars and how many rows could be read.
+    """
     opens = day_start(F.col("source_day"))
     carry = opens - F.expr("interval 1 minute")
-    minute = minute_floor(F.col("ts"))
+    counts = utc_day_number(F.col("ts")) <= F.unix_date("source_day")
+    minute = F.when(counts, F.greatest(minute_floor(F.col("ts")), carry))
     last_seen = F.max("ts").alias("_last_ts")
     last_close = F.max(F.when(F.col("close").isNotNull(), F.col("ts"))).alias("_close_ts")
 
     bars = (
-        drop_null_ts(ticks)
-        .where(utc_day_number(F.col("ts")) <= F.unix_date("source_day"))
-        .select("*", F.greatest(minute, carry).alias("_minute"))
+        ticks.select("*", minute.alias("_minute"))
         .groupBy(*KEYS, "_minute")
-        .agg(*_bar_aggs(tie_break), last_seen, last_close)
+        .agg(*_bar_aggs(tie_break), last_seen, last_close, F.count("*").alias("n"))
         .withColumnRenamed("_minute", "ts")
         # The carry bucket spans many minutes: its close counts only if it belongs
-        # to the last of them.
+        # to the last of them. Rows of no minute have no close to follow.
         .withColumn(
             "close",
             F.when(
                 (F.col("ts") >= opens)
-                | (minute_floor(F.col("_last_ts")) == minute_floor(F.col("_close_ts"))),
+                | (F.col("ts").isNotNull() & (minute_floor(F.col("_last_ts")) == minute_floor(F.col("_close_ts")))),
                 F.col("close"),
             ),
         )
     )
-    return with_returns(bars).where(F.col("ts") >= opens).select(*BAR_COLS)
+    return with_returns(bars).select(*BAR_COLS, "n")

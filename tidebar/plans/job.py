@@ -7,14 +7,14 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebar.operators.bars import day_bars
+from tidebar.operators.bars import bars_of, counted_bars, rows_met
 from tidebar.operators.features import daily_regime_features
 from tidebar.operators.report import day_outcomes, requested_days, rows_per_day
 from tidebar.operators.sink import write_daily, write_empty_days
 from tidebar.schema import BAR_SCHEMA, FEATURE_SCHEMA, RegimeSpec
 from tidebar.session import drop_path, materialize, scratch_dir, utc
 from tidebar.sources.calendar import as_date, calendar
-from tidebar.sources.klines import KlineScan, scan_klines
+from tidebar.sources.klines import KlineScan, scan_klines, short_days
 
 
 def run_regime_features(
@@ -34,7 +34,8 @@ def run_regime_features(
     and return the run report, one row per symbol and day.
 
     Raw files are read once: the bars, a sixtieth of them, are kept in the shared folder
-    and feed the features, the bar output and the report alike.
+    and feed the features, the bar output and the report alike. A day of which not all rows
+    can be decoded is an error, as are the days that see it.
     """
     symbols = [symbols] if isinstance(symbols, str) else list(symbols)
     start, end = as_date(start), as_date(end)
@@ -47,11 +48,12 @@ def run_regime_features(
         try:
             since = start - timedelta(days=tail_days)
             scan = scan_klines(spark, in_path, symbols, since, end, work)
-            bars = materialize(day_bars(scan.ticks, tie_break), f"{work}/bars")
+            counted = materialize(counted_bars(scan.rows, tie_break), f"{work}/bars")
+            bars = bars_of(counted)
             counts = rows_per_day(bars, "source_day", "n_bars")
-            outcomes = day_outcomes(
-                requested, counts, scan.inputs, scan.rejected.unionByName(_silent(scan, counts)), tail_days
-            )
+            failures = scan.rejected.unionByName(short_days(scan, rows_met(counted)))
+            failures = failures.unionByName(_silent(scan, counts).join(failures, ["symbol", "day"], "left_anti"))
+            outcomes = day_outcomes(requested, counts, scan.inputs, failures, tail_days)
             report = materialize(outcomes, f"{scratch}/report")
             failed = report.where("status = 'error'").select("symbol", F.col("day").alias("date"))
             failed = None if failed.isEmpty() else failed

@@ -307,6 +307,16 @@ SELECT 'ALL' AS symbol, facts.day,
   CASE WHEN bad_day IS NULL THEN coalesce(inputs, '') END AS inputs,
   CASE WHEN bad_day IS NOT NULL THEN bad_day || ': {_MISSING}' END AS error
 FROM facts LEFT JOIN own USING (day) LEFT JOIN coverage USING (day)""",
+        "damaged_page_features": "WITH "
+        + _features(
+            _ticks(
+                taker="CAST(NULL AS DOUBLE)",
+                source="(SELECT * REPLACE (date_trunc('millisecond', ts) AS ts) FROM events)",
+            ),
+            DENSITY, 7, _FIRST, f"{_LAST} + 10",
+        )
+        + f""" SELECT symbol, date, ts, {_FEATURES} FROM feat
+WHERE date NOT IN (SELECT {_DAY} + CAST(k AS INTEGER) FROM events, range(8) r(k) WHERE {_D} = {BAD_DAY})""",
         "status_unreadable_file": f"""WITH {_returns(_ticks())},
 own AS (SELECT source_day AS day, count(*) AS n FROM day GROUP BY 1),
 days AS (SELECT CAST(unnest(generate_series(CAST({_FIRST} AS TIMESTAMP),
@@ -334,6 +344,7 @@ FROM facts LEFT JOIN own USING (day)""",
         "rows_per_day": f"WITH {_returns(by_type)} SELECT symbol, source_day, "
         "count(*) AS n_feat_rows FROM day GROUP BY 1, 2",
     }
+    out["status_damaged_page"] = out["status_unreadable_file"]
     one = f"WITH {_features(_ticks(), DENSITY, 7, _FIRST, _LAST)} SELECT symbol, date, ts, "
     for f in FEATURE_COLS:
         out[f] = one + _r(12 if f == "trend24" else 6, f) + " FROM feat"

@@ -33,7 +33,7 @@ from tidebar.sources.calendar import calendar
 from tidebar.sources.klines import scan_klines
 from tidebar.sources.layout import day_files, pick_layout
 from tidebar.sources.normalize import normalize
-from tidebar.sources.stores import system_of
+from tidebar.sources.stores import files_below, system_of
 
 # About 299 minutes a day carry events at scale 0.01, and 65 of each event type.
 DENSITY = RegimeSpec(short=12, day=299, week=2093, min_short=4, min_day=75, min_week=897)
@@ -585,31 +585,55 @@ def q_bar_sink(spark, sf):
 
 def q_status_unreadable_file(spark, sf):
     """One file of `BAD_DAY` is garbage: the days that see it are errors, all others done."""
-    archive = _broken_archive(spark, sf)
-    report = _run_job(spark, sf, archive)[0]
+    report = _run_job(spark, sf, _spoilt_archive(spark, sf, "garbage"))[0]
     return report.select("symbol", "day", "status", "n_feat_rows")
 
 
-def _broken_archive(spark: SparkSession, sf: str) -> str:
-    key = (spark.sparkContext.applicationId, sf, "broken")
+def q_status_damaged_page(spark, sf):
+    """The files of `BAD_DAY` have good footers over pages that cannot be decoded."""
+    report = _run_job(spark, sf, _spoilt_archive(spark, sf, "pages"))[0]
+    return report.select("symbol", "day", "status", "n_feat_rows")
+
+
+def q_damaged_page_features(spark, sf):
+    """Features of the days that do not see the damaged day."""
+    features = _run_job(spark, sf, _spoilt_archive(spark, sf, "pages"))[1]
+    return features.selectExpr("symbol", "date", "ts", *_feature_cols())
+
+
+def _spoilt_archive(spark: SparkSession, sf: str, kind: str) -> str:
+    """A plain archive in which files of `BAD_DAY` are spoilt: one of `garbage`, or all `pages`."""
+    key = (spark.sparkContext.applicationId, sf, kind)
     if key not in _ARCHIVES:
-        out = scratch_dir(spark, "archive-broken")
+        out = scratch_dir(spark, f"archive-{kind}")
         rows = _events(spark, sf).selectExpr(
             "unix_millis(ts) AS open_time", *_RAW_PRICES, f"{_VOLUME} AS volume", "cast(ts AS date) AS date"
         )
         rows.write.partitionBy("date").parquet(out)
         bad = rows.where(f"day(date) = {BAD_DAY}").select("date").distinct()
-        bad.foreach(lambda row: _spoil(out, row.date))
+        spoil = {"garbage": _add_garbage, "pages": _spoil_pages}[kind]
+        bad.foreach(lambda row: spoil(f"{out}/date={row.date}"))
         _ARCHIVES[key] = out
     return _ARCHIVES[key]
 
 
-def _spoil(out: str, day: date) -> None:
-    system, inner = system_of(f"{out}/date={day}/garbage.parquet")
+def _add_garbage(folder: str) -> None:
+    system, inner = system_of(f"{folder}/garbage.parquet")
     with system.open_output_stream(inner) as f:
         f.write(b"this is no Parquet file")
 
 
+def _spoil_pages(folder: str) -> None:
+    """Overwrite all that lies before the footers of a folder's files."""
+    for name, _ in files_below(folder):
+        system, inner = system_of(f"{folder}/{name}")
+        with system.open_input_file(inner) as f:
+            whole = f.read()
+        tail = 8 + int.from_bytes(whole[-8:-4], "little")
+        with system.open_output_stream(inner) as f:
+            f.write(whole[:4] + b"\xff" * (len(whole) - tail - 4) + whole[-tail:])
+
+
 # --- report -----------------------------------------------------------------------
 
 

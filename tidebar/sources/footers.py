@@ -19,6 +19,11 @@ _FILES_PER_TASK = 32
 UNREADABLE_MESSAGE = "unreadable file "
 
 
+def _said(e: Exception) -> str:
+    """The first line of what an exception says, or its kind."""
+    return (str(e).splitlines() or [type(e).__name__])[0][:200]
+
+
 def read_footers(files: DataFrame, n_files: int) -> DataFrame:
     """Add `n_rows`, `cols` and `unreadable` to a file listing: of each known column its
     name, Arrow type, and, where the footer tells, its number of values and numeric range.
@@ -56,7 +61,7 @@ def read_footers(files: DataFrame, n_files: int) -> DataFrame:
                 except (OSError, pa.ArrowException) as e:
                     rows.append(0)
                     cols.append([])
-                    errors.append(f"{UNREADABLE_MESSAGE}{path}: {str(e).splitlines()[0][:200]}")
+                    errors.append(f"{UNREADABLE_MESSAGE}{path}: {_said(e)}")
                     continue
                 errors.append(None)
                 leaves = {meta.schema.column(i).path: i for i in range(meta.num_columns)}

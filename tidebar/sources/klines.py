@@ -39,15 +39,34 @@ _TICKS = (
 
 
 class KlineScan(NamedTuple):
-    """Ticks to compute with; `inputs` (symbol, day, n_files, n_rows) of every day that has
-    files; `rejected` (symbol, day, error) of the days that cannot be read as klines; `texts`
-    (symbol, day, n_texts) of the days whose instants are texts, by what their footers say."""
+    """Raw rows as ticks, those without an instant too; `inputs` (symbol, day, n_files, n_rows)
+    of every day that has files; `rejected` (symbol, day, error) of the days that cannot be read
+    as klines; `texts` (symbol, day, n_texts) of the days whose instants are texts, by what their
+    footers say.
 
-    ticks: DataFrame
+    Pages that cannot be decoded give no rows instead of ending the run: where fewer rows come
+    than `inputs` promises, the day is damaged (`short_days`)."""
+
+    rows: DataFrame
     inputs: DataFrame
     rejected: DataFrame
     texts: DataFrame
 
+    @property
+    def ticks(self) -> DataFrame:
+        """The rows to compute with."""
+        return self.rows.where("ts IS NOT NULL")
+
+
+def short_days(scan: KlineScan, met: DataFrame) -> DataFrame:
+    """(symbol, day, error) of the days of which fewer rows came, by `met` (symbol, source_day,
+    n_rows), than their footers promise; days that were rejected before any reading are none."""
+    met = met.select("symbol", F.col("source_day").alias("day"), F.col("n_rows").alias("n_met"))
+    known = scan.inputs.join(scan.rejected, DAY, "left_anti").join(met, DAY, "left")
+    lost = F.col("n_rows") - F.coalesce("n_met", F.lit(0))
+    error = F.concat(F.lit("damaged files: "), lost, F.lit(" of "), "n_rows", F.lit(" rows cannot be read"))
+    return known.where(lost > 0).select(*DAY, error.alias("error"))
+
 
 class _Archive(NamedTuple):
     root: str
@@ -240,7 +259,7 @@ def _tick_rows(raw: DataFrame, group: Row, dtypes: dict[str, T.DataType]) -> Dat
         F.col("day").alias("source_day"),
         ts.alias("ts"),
         *tick_columns(dtypes, group.volume_col, group.taker_col),
-    ).where("ts IS NOT NULL")
+    )
 
 
 def _read_ticks(archive: _Archive, good: DataFrame) -> DataFrame:
@@ -348,7 +367,7 @@ def _load(
     """Rows with `symbol` and `day`. Hive-style folders give both as partition columns,
     which cost nothing per row; other folders have them cut from the file's path."""
     spark = archive.files.sparkSession
-    reader = spark.read.option("pathGlobFilter", "*.parquet")
+    reader = spark.read.option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", True)
     head = archive.root.split(SYMBOL)[0] if SYMBOL in archive.root else None
     hive_symbol = head is None or head.endswith("/symbol=")
     if kind in (1, 2) and hive_symbol:
