@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from html import unescape
 
 import pytest
@@ -76,3 +77,38 @@ def test_pages_without_labels_nulls_and_extra_columns(spark):
 def test_formulas_stay():
     html = f"<article><p>{LONG}so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds {LONG}</p></article>"
     assert main_text(html, WEIGHTS) == f"{LONG}so x=2 holds {LONG.strip()}"
+
+
+ODD = {
+    "cut tags": "<a", "ordinary text": "a<b ", "declarations": "<!", "stray ends": "<b></i>", "open quotes": "<a href=\"x>y ",
+    "cut values": "<a b='", "attributes": "<a b=\"c\" ", "comments": "<!--", "processing": "<?x ", "cut scripts": "<script ",
+    "rules in bold": "<b><hr>", "cells": "<td><b>", "list items": "<li><i>", "equals": "<a =", "half quotes": "<a b=\"<a c='",
+    "spaces": "<a b =           ", "ends": "</", "options": "<p><select><b><hr>", "classes": "<i class = ad ",
+}
+
+
+@pytest.mark.parametrize("piece", ODD.values(), ids=ODD.keys())
+@pytest.mark.parametrize("tail", ["", ">", "\"'>"])
+def test_odd_pages_take_linear_time(piece, tail):
+    html = piece * (1_000_000 // len(piece)) + tail
+    began = time.process_time()
+    text = main_text(html, WEIGHTS)
+    assert time.process_time() - began < 20
+    assert not re.search(r"<[a-z/!?]", text)
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<p>{LONG}<a href=\"foo>link</a> {LONG}</p>", f"{LONG}link {LONG.strip()}"),
+        ("<p>The <a href='foo>link</a> end, isn't it.</p>", "The t it."),  # the quote ends in isn't
+        ("<p class=a\">x</p> <p>\"y\"</p>", "x\n\n\"y\""),
+        ("<p>if a<b then c</p>", "if a then c"),
+        (f"<p>{LONG}<a href=x title=\"y z\" <b>bold</b> {LONG}</p>", f"{LONG}bold {LONG.strip()}"),
+        (f"<article><p>{LONG}</p><p class='social alert'>{LONG}</p><p>{LONG}</p></article>", "\n\n".join([LONG.strip()] * 3)),
+        (f"<article><p>{LONG}</p><div class='share'>{LONG}</div><p hidden>{LONG}</p><p>{LONG}</p></article>", "\n\n".join([LONG.strip()] * 2)),
+        (f"<p>{LONG}</p><p class='ad'>{LONG}</p>", LONG.strip()),
+    ],
+)
+def test_broken_tags_and_marks(html, text):
+    assert main_text(html, WEIGHTS) == text

@@ -4,7 +4,8 @@ A page is a row of words and tags. Words score positive and tags negative; the c
 with the largest sum is the content. What a word and each tag are worth is learned from pages
 that label their own content by an `article` or `main` element: the logarithm of how much
 more often the token occurs inside than outside. Text of menus, forms, scripts and the like
-within the run is left out by its element, class, id or role, and scores nothing.
+within the run is left out by its element, class, id or role, and scores nothing; on an element
+of running text within an article such a class is one more token with a weight.
 """
 
 from __future__ import annotations
@@ -67,13 +68,30 @@ _PROSE = frozenset(
 )
 _LAYOUT = frozenset("with has no without".split())
 _NAMES = _ASIDE | _BLOCKS | _INLINE
-
+#: Elements whose marks within an article are no proof: the text is the article's own.
+_TEXTUAL = _PROSE - frozenset("article main html body header section figure".split()) | frozenset(
+    "a li dd dt td th tr font q tt".split()
+)
+#: The token that stands for a mark which is no proof.
+MARKED = "!marked"
+#: Open elements that are looked through for one that a new element ends.
+DEPTH = 64
+
+# Quotes only count after an equals sign; one that never ends, or not soon, is an ordinary character.
+# Every part is possessive and ends at the next `<`, so that no page takes more than linear time.
+_VALUE = (
+    r"=\s*+(?:\"[^\"<>]*+\"|'[^'<>]*+'|\"[^\"]{0,2000}+\"|'[^']{0,2000}+')"
+)
+_NAME = r"[a-zA-Z][^\s/<>\"'=]*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
+    r"<!--.*?(?:-->|\Z)|<(?:[!?]|/(?![a-zA-Z]))[^<>]*+>?"
+    rf"|<(/?)({_NAME})((?:{_VALUE}|[^<>=]++|=)*+)>"
+    # a tag that is cut short: its name, and what can only be attributes
+    rf"|</?{_NAME}(?:\s++[\w:-]++\s*+(?:{_VALUE}|=\s*+[^\s<>]*+))*+",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_HIDDEN = re.compile(r"(?:^|\s)hidden\b", re.I)
 _PART = re.compile(r"[a-z]+")
 _LABELLED = r"(?i)<(article|main)[\s>]"
 
@@ -100,18 +118,27 @@ def tokens(html: str) -> Iterator[tuple[str, str, bool, bool]]:
     """(kind, value, aside, inside) of each token: a tag's name, or a stretch of text.
 
     kind is "open", "close" or "text"; `aside` says that the token is part of what is left
-    out, `inside` that it stands in an article or main element.
+    out, `inside` that it stands in an article or main element. A tag that is cut short gives no
+    token. Time is linear in the page's length, whatever it holds.
     """
     stack: list[tuple[str, bool, bool]] = []
+    opened: Counter = Counter()
     at, length = 0, len(html)
 
     def state() -> tuple[bool, bool]:
         return stack[-1][1:] if stack else (False, False)
 
-    def pop_to(name: str, limits: frozenset) -> None:
-        for depth in range(len(stack) - 1, -1, -1):
+    def cut(depth: int) -> None:
+        opened.subtract(x[0] for x in stack[depth:])
+        del stack[depth:]
+
+    def end(name: str, limits: frozenset) -> None:
+        """End the innermost open element of a name that no element of `limits` hides."""
+        if not opened[name]:
+            return
+        for depth in range(len(stack) - 1, max(-1, len(stack) - 1 - DEPTH), -1):
             if stack[depth][0] == name:
-                del stack[depth:]
+                cut(depth)
                 return
             if stack[depth][0] in limits:
                 return
@@ -128,31 +155,33 @@ def tokens(html: str) -> Iterator[tuple[str, str, bool, bool]]:
             continue
         name = found[2].lower()
         if found[1]:
-            if any(x[0] == name for x in stack):
-                yield "close", name, *state()
-                pop_to(name, frozenset())
-            else:
-                yield "close", name, *state()
+            yield "close", name, *state()
+            if opened[name]:
+                cut(next(d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == name))
             continue
         if name in _ENDS_P:
-            pop_to("p", _SCOPES)
+            end("p", _SCOPES)
         for other in _SIBLINGS.get(name, ()):
-            pop_to(other, _SCOPES - {other})
+            end(other, _SCOPES - {other})
         aside, inside = state()
         if name == "header" and not inside or name in _ASIDE:
             aside = True
         elif name not in ("html", "body", "article", "main") and _marked(found[3], inside):
-            aside = True
+            if inside and name in _TEXTUAL and not _HIDDEN.search(found[3]):
+                yield "open", MARKED, aside, inside
+            else:
+                aside = True
         inside = inside or (name in ("article", "main") and not aside)
         yield "open", name, aside, inside
         if name in _VOID or found[3].endswith("/") and name not in _BLOCKS:
             continue
         if name in _RAW:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
-            at = end.end() if end else length
+            last = re.compile(rf"</{re.escape(name)}\s*+>", re.I).search(html, at)
+            at = last.end() if last else length
             yield "close", name, aside, inside
             continue
         stack.append((name, aside, inside))
+        opened[name] += 1
 
 
 def _sequence(html: str) -> list[tuple[str, str, int, bool]]:
@@ -173,7 +202,7 @@ def token_counts_of(html: str) -> Counter:
     for token, _, n, inside in _sequence(html):
         if token == WORD:
             counts[WORD, inside] += n
-        elif token in _NAMES and token not in ("article", "main", "html", "body"):
+        elif (token in _NAMES or token == MARKED) and token not in ("article", "main", "html", "body"):
             counts[token, inside] += 1
     return counts
 
