@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidebar.llm import language_id
 from tidebar.llm.language_id import fit, identify, kernel, predict, presence
@@ -50,8 +51,6 @@ def test_accuracy_on_held_out_documents(spark, docs):
 
 
 def test_held_out_labels_are_not_learned(spark, docs):
-    from pyspark.sql import functions as F
-
     away = docs.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, "zz").otherwise(F.col("lang")))
     a, b = (sorted(map(tuple, identify(d).collect())) for d in (docs, away))
     assert a == b
@@ -63,13 +62,52 @@ def test_odd_rows(spark, docs):
     df = spark.createDataFrame(rows, schema)
     model = fit(docs)
     got = predict(df, model)
-    assert got.columns == ["doc_id", "text", "lang", "lang.pred", "lang_pred", "score"]
+    assert got.columns == ["doc_id", "text", "lang", "lang.pred", "lang_pred", "score", "likeness"]
     assert [(r.doc_id, r.lang_pred) for r in got.collect()] == [(None, "und"), (1, "und"), (2, "und"), (3, "en")]
     assert [r.lang_pred for r in predict(df, None).collect()] == ["und"] * 4
     assert identify(df.limit(0)).collect() == []
     assert fit(df.where("doc_id = 3").withColumn("lang", df.text.substr(1, 0))) is not None
 
 
+def test_every_text_with_a_letter_gets_a_learned_language(spark, docs):
+    rows = [(i, t) for i, t in enumerate([*UNLEARNED, "ok", "x" * 100_000, "é 1"])]
+    got = predict(spark.createDataFrame(rows, "doc_id long, text string"), fit(docs)).collect()
+    assert {r.lang_pred for r in got} <= set(fit(docs).languages)
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_fit_and_predict_are_the_dense_solution(spark, docs):
+    """Features K_nm K_mm^-1/2 and the weighted normal equations, solved by least squares."""
+    rows = docs.where("lang is not null and text is not null").where(~language_id.held_out(docs.doc_id))
+    rows = rows.select("lang", F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)).alias("place"), "text")
+    by = {}
+    for lang, _, text in sorted(map(tuple, rows.collect())):
+        if any(c.isalpha() for c in text):
+            by.setdefault(lang, []).append(text)
+    by = {k: v[: language_id.PER_LANGUAGE] for k, v in by.items()}
+    languages = sorted(by)
+    each = language_id.LANDMARKS // len(languages)
+    marks = presence([t for k in languages for t in by[k][:each]])[0]
+    values, vectors = np.linalg.eigh(kernel(marks, marks))
+    use = values > 1e-8 * values.max()
+    root = vectors[:, use] / np.sqrt(values[use])
+    x = np.concatenate([kernel(presence(by[k])[0], marks) @ root for k in languages])
+    owner = np.concatenate([np.full(len(by[k]), i) for i, k in enumerate(languages)])
+    y = np.where(owner[:, None] == np.arange(len(languages)), 1.0, -1.0)
+    size = np.bincount(owner)
+    w = np.sqrt(len(owner) / (len(languages) * size))[owner][:, None]
+    ridge = np.sqrt(language_id.RIDGE) * np.eye(x.shape[1])
+    beta = np.linalg.lstsq(np.vstack([w * x, ridge]), np.vstack([w * y, np.zeros((len(ridge), y.shape[1]))]))[0]
+    model = fit(docs)
+    assert model.languages == languages
+    asked = [r.text for r in docs.where("text is not null").limit(200).collect()] + UNLEARNED
+    want = kernel(presence(asked)[0], marks) @ root @ beta
+    best, score, _ = model.predict(presence(asked)[0])
+    close = np.sort(want, 1)[:, -1] - np.sort(want, 1)[:, -2] < 1e-6
+    assert ((best == want.argmax(1)) | close).all()
+    assert np.allclose(score, np.clip((want.max(1) + 1) / 2, 0, 1), atol=1e-6)
+
+
 UNLEARNED = [
     "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
     "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván.",

@@ -25,8 +25,8 @@ def test_rows_are_those_of_brute_force(spark):
     rows = docs.collect()
     model = fit(docs)
     marks, letters = presence([r.text for r in rows])
-    _, score = model.predict(marks)
-    rows = [r for r, ok, s in zip(rows, letters, score, strict=True) if ok and s >= corpus_pipeline.LEAST_SCORE]
+    _, _, like = model.predict(marks)
+    rows = [r for r, ok, x in zip(rows, letters, like, strict=True) if ok and x >= 1]
     assert 0.95 * docs.count() < len(rows)
     root = components([(r.doc_id, r.text) for r in rows], 80)
     rows = [r for r in rows if root[r.doc_id] == r.doc_id]

@@ -4,8 +4,9 @@ A text is the set of its n-grams of 1 to `ORDERS` characters, over lower-case le
 everything else as a space, hashed to `DIMENSIONS`. The kernel of two texts is the number of
 n-grams they share over the geometric mean of their own numbers. Landmark texts stand for the
 kernel matrix; one ridge regression per language, against the rest, is solved in their space.
-The regression only tells languages apart. Whether a text is in one at all is judged by its
-likeness to that language's landmarks, against the likeness that labelled texts have.
+The regression only tells languages apart. Whether a text is in one at all is a question of its own,
+which `likeness` answers: the likeness to that language's landmarks over the least that counts as the
+language, half-way (by ratio) between texts that just are in it and texts of the other languages.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ DIMENSIONS = 1 << 14
 PER_LANGUAGE = 250
 LANDMARKS = 96
 RIDGE = 0.1
-#: A text is in no learned language below this share of its best language's usual least
-#: likeness, which is this quantile of the labelled sample.
-LEAST_SHARE = 0.65
+#: Languages learned at most, those with the most labelled rows.
+MOST_LANGUAGES = 200
+#: A text that just is in a language has this quantile of the likeness of its labelled texts.
 LEAST_QUANTILE = 0.01
 NO_LANGUAGE = "und"
 
@@ -85,18 +86,15 @@ class Model:
     weights: np.ndarray
     least: np.ndarray
 
-    def predict(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index of the language, score from 0 to 1) of each presence row.
-
-        The score is 0 if the text is too unlike the landmarks of its best language.
-        """
+    def predict(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index of the language, score from 0 to 1, likeness) of each presence row."""
         marks = np.unpackbits(self.landmarks, axis=1).astype(np.float32)
         shared = kernel(rows, marks)
         values = shared @ self.weights
         best = values.argmax(1)
         at = np.arange(len(best)), best
-        like = likeness(rows, marks, shared, self.owners)[at]
-        return best, np.where(like < self.least[best], 0.0, np.clip((values[at] + 1) / 2, 0, 1))
+        like = likeness(rows, marks, shared, self.owners)[at] / self.least[best]
+        return best, np.clip((values[at] + 1) / 2, 0, 1), like
 
 
 def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -133,14 +131,15 @@ def held_out(key: Column) -> Column:
 
 
 def fit(docs: DataFrame) -> Model | None:
-    """Fit on at most `PER_LANGUAGE` labelled rows of each language, chosen by a hash of the id.
+    """Fit on at most `PER_LANGUAGE` labelled rows of each of `MOST_LANGUAGES`, chosen by a hash of the id.
 
     Only rows with a non-null `lang` that are not held out count. The driver gets the number
     of rows per language and the n-gram bits of the chosen rows. None if there are no such rows.
     """
     place = F.xxhash64(F.col("doc_id").cast("string"), F.lit(7))
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = dict(known.groupBy("lang").count().collect())
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    counts = dict(counts.collect())
     if not counts:
         return None
     limit = F.lit(None).cast("double")
@@ -168,7 +167,7 @@ def fit(docs: DataFrame) -> Model | None:
     whiten = vectors[:, use] / np.sqrt(values[use])
     square = np.zeros((whiten.shape[1],) * 2)
     cross = np.zeros((whiten.shape[1], len(languages)))
-    least = np.zeros(len(languages))
+    inside, outside = np.ones(len(languages)), [[] for _ in languages]
     total = sum(len(x) for x in by_language.values())
     for i, lang in enumerate(languages):
         own = by_language[lang]
@@ -177,48 +176,56 @@ def fit(docs: DataFrame) -> Model | None:
         mapped = shared @ whiten
         # landmarks are like themselves, so they count only if there are no other rows
         rest = slice(each if len(own) > each else 0, None)
-        like = likeness(rows[rest], marks, shared[rest], owners)[:, i]
-        least[i] = LEAST_SHARE * np.quantile(like, LEAST_QUANTILE)
+        like = likeness(rows[rest], marks, shared[rest], owners)
+        inside[i] = np.quantile(like[:, i], LEAST_QUANTILE)
+        for j in range(len(languages)):
+            if j != i:
+                outside[j].append(like[:, j])
         weight = total / (len(languages) * len(own))  # as if languages were of equal number
         target = np.where(np.arange(len(languages)) == i, 1.0, -1.0)
         square += weight * mapped.T @ mapped
         cross += weight * mapped.sum(0)[:, None] * target
+    # with one language alone, half of what its own texts have
+    others = [np.median(np.concatenate(x)) if x else own / 4 for x, own in zip(outside, inside, strict=True)]
+    least = np.maximum(np.sqrt(inside * others), 1e-9)
     solved = np.linalg.solve(square + RIDGE * np.eye(len(square)), cross)
     return Model(languages, landmarks, owners, whiten @ solved, least)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """`docs` with lang_pred and score as last columns, from the whole text alone.
+    """`docs` with lang_pred, score and likeness as last columns, from the whole text alone.
 
-    lang_pred is a learned value of `lang`, the alphabetically first of equal ones, or `und`
-    with score 0 if the text is null, has no letter or is in no learned language, as far as
-    n-grams tell, or if there is no model. Columns of the two names are replaced; all others and repeated rows are kept.
+    lang_pred is a learned value of `lang`, the alphabetically first of equal ones, or `und` with
+    score and likeness 0 if the text is null or has no letter, or if there is no model. A
+    likeness below 1 says that the text is in none of the learned languages, as far as n-grams
+    tell. Columns of the three names are replaced; all others and repeated rows are kept.
     """
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    at = place(docs, "text", ("lang_pred", "score"))
+    names = ("lang_pred", "score", "likeness")
+    types = (T.StringType(), T.DoubleType(), T.DoubleType())
+    added = [T.StructField(n, t) for n, t in zip(names, types, strict=True)]
+    at = place(docs, "text", names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(first, _ROWS)
                 lang = [NO_LANGUAGE] * part.num_rows
-                score = np.zeros(part.num_rows)
-                texts = part.column(at).to_pylist()
+                score = like = np.zeros(part.num_rows)
                 if model:
-                    rows, letters = presence(texts)
-                    best, value = model.predict(rows)
-                    score = np.where(letters, value, 0.0)
-                    lang = [model.languages[b] if s > 0 else NO_LANGUAGE for b, s in zip(best, score, strict=True)]
-                yield appended(part, pa.array(lang, pa.string()), pa.array(score))
+                    rows, letters = presence(part.column(at).to_pylist())
+                    best, score, like = model.predict(rows)
+                    lang = [model.languages[b] if ok else NO_LANGUAGE for b, ok in zip(best, letters, strict=True)]
+                    score, like = np.where(letters, score, 0.0), np.where(letters, like, 0.0)
+                yield appended(part, pa.array(lang, pa.string()), pa.array(score), pa.array(like))
 
     return map_batches(docs, run, added)
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """One row per row of `docs`: doc_id, held_out, lang_pred, score. See `fit` and `predict`.
+    """One row per row of `docs`: doc_id, held_out, lang_pred, score, likeness. See `fit` and `predict`.
 
     A null doc_id is not held out. An empty table gives an empty result.
     """
     model = fit(docs)
     out = predict(docs.select("doc_id", "text"), model)
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "likeness")
