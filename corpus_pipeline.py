@@ -10,34 +10,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebar.llm.decontaminate import without_items
-from tidebar.llm.language_id import NO_LANGUAGE, fit, predict
+from tidebar.llm.language_id import fit, predict
 from tidebar.llm.minhash import near_duplicates
 from tidebar.llm.pieces import encode
 from tidebar.llm.queries import piece_model
 from tidebar.session import materialize, scratch_dir
 
-#: Documents whose best language scores less are rejected, as are those in no learned language,
-#: which `predict` scores 0.
-LEAST_SCORE = 0.2
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model knows; it learns from the labels of `docs`."""
     marked = predict(docs, fit(docs))
-    known = marked.where((F.col("lang_pred") != NO_LANGUAGE) & (F.col("score") >= LEAST_SCORE))
-    return known.drop("lang_pred", "score")
+    return marked.where("likeness >= 1").drop("lang_pred", "score", "likeness")
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each group of near duplicates.
 
-    Groups are linked by 0.8 of five-word shingles or more. Of rows with equal id and text
-    one stays; documents with a null id all stay. Texts are shuffled once, theirs never.
+    Groups are linked by 0.8 of five-word shingles or more. Of rows with equal id and text the
+    least by their other columns stays; documents with a null id all stay. Texts are shuffled
+    once, theirs never.
     """
     gone = near_duplicates(docs, percent=80).where(~F.col("kept")).select("doc_id").distinct()
     known = docs.where(F.col("doc_id").isNotNull())
     # a merge join keeps the partitions by id, in which repeated rows meet as well
-    kept = known.join(gone.hint("merge"), "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    kept = known.join(gone.hint("merge"), "doc_id", "left_anti")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    kept = kept.groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("rest")) if rest else kept.distinct()
+    kept = kept.select("doc_id", "text", *(["rest.*"] if rest else [])).select(*(f"`{c}`" for c in docs.columns))
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
