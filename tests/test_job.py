@@ -395,6 +395,33 @@ def test_texts_of_many_forms(spark, tmp_path):
     assert sorted(r["count"] for r in got.groupBy("source_day").count().collect()) == [10] * len(TEXTS)
 
 
+def test_the_folder_settles_what_texts_leave_open(spark, tmp_path):
+    """Day first and month first, half days, zones and weekdays, on days of which either reads."""
+    forms = {
+        1: "%d/%m/%Y %H:%M:%S", 2: "%m/%d/%Y %I:%M:%S %p", 3: "%a, %d %b %Y %H:%M:%S GMT",
+        4: "%d-%m-%Y %H:%M:%S +0000", 5: "%Y-%m-%d %I:%M %p", 6: "%d.%m.%Y %H:%M:%S.%f UTC", 7: "%d/%m/%Y %H:%M",
+    }
+    for k, form in forms.items():
+        at = pd.to_datetime(klines(k).open_time, unit="ms") + pd.Timedelta(hours=11, minutes=55)
+        name = "ts" if k % 2 else "startTime"
+        frame = klines(k, open_time=None).assign(**{name: at.dt.strftime(form)})
+        put(frame, str(tmp_path), f"date={day(k)}", "x.parquet")
+    # a local time whose day is not the folder's, and a few texts of another form
+    late = [f"{day(8)} 22:0{i}:00-05:00" for i in range(10)]
+    put(klines(9, ts=late), str(tmp_path), f"date={day(9)}", "x.parquet")
+    mixed = [f"10/01/2024 00:0{i}:00" for i in range(8)] + ["2024-01-10", "01/10/2024 00:09:00"]
+    put(klines(10, ts=[t.replace("10/01", "11/01") for t in mixed]), str(tmp_path), f"date={day(10)}", "x.parquet")
+    ticks = scan(spark, tmp_path, last=10).ticks
+    got = ticks.groupBy("source_day").agg(F.count("*").alias("n"), F.min("ts"), F.max("ts"), F.first("ts"))
+    rows = {r.source_day: r for r in got.collect()}
+    for k in forms:
+        noon = datetime.combine(day(k), datetime.min.time()) + timedelta(hours=11, minutes=55)
+        assert rows[day(k)][1:4] == (10, noon, noon + timedelta(minutes=9)), forms[k]
+    assert rows[day(9)][1:3] == (10, datetime(2024, 1, 10, 3))
+    # the text of the other form is read by the day's form, as an instant of another day
+    assert rows[day(10)][1:4] == (9, datetime(2024, 1, 11), datetime(2024, 10, 1, 0, 9))
+
+
 def test_texts_that_say_nothing_leave_old_output(spark, tmp_path):
     r, out = str(tmp_path / "in"), str(tmp_path / "out")
     put(klines(0, 10), r, f"date={day(0)}", "x.parquet")

@@ -450,7 +450,7 @@ def _plain_archive(spark: SparkSession, sf: str, kind: str) -> str:
     out = scratch_dir(spark, f"archive-{kind}")
     time = "unix_millis(ts) AS open_time"
     if kind == "texts":
-        forms = "array({})".format(", ".join(f"'{f}'" for f in TEXT_FORMS))
+        forms = "array({})".format(", ".join(f'"{f}"' for f in TEXT_FORMS))
         time = f"date_format(ts, {forms}[day(ts) % {len(TEXT_FORMS)}]) AS timestamp"
     parts = {
         "nested": ["cast(ts AS date) AS dt", "hour(ts) DIV 12 AS h"],
@@ -474,7 +474,8 @@ def _plain_archive(spark: SparkSession, sf: str, kind: str) -> str:
 #: Forms of an instant to the second, by day of month.
 TEXT_FORMS = [
     "yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy HH:mm:ss", "yyyyMMdd HH:mm:ss", "dd MMM yyyy HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss", "MMMM d, yyyy HH:mm:ss", "dd.MM.yyyy HH:mm:ss",
+    "yyyy-MM-dd HH:mm:ss", "MMMM d, yyyy HH:mm:ss", "dd.MM.yyyy HH:mm:ss", "dd/MM/yyyy HH:mm:ss",
+    "MM/dd/yyyy hh:mm:ss a", "EEE, dd MMM yyyy HH:mm:ss 'GMT'", "dd-MM-yyyy HH:mm:ss Z",
 ]
 
 

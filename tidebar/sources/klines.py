@@ -6,11 +6,11 @@ import uuid
 from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidebar.functions.scalars import parse_instant
+from tidebar.functions.scalars import parse_instant, parse_text, text_forms, text_stem, utc_day_number
 from tidebar.schema import (
     MILLIS_THRESHOLD,
     PRICE_COLS,
@@ -25,10 +25,11 @@ from tidebar.sources.layout import SYMBOL, day_files, day_glob, pick_layout, roo
 from tidebar.sources.normalize import (
     MISSING_MESSAGE,
     NO_TIME_MESSAGE,
+    epoch_counts,
     instant_of,
     is_epoch,
     tick_columns,
-    time_facts,
+    unit_of,
 )
 
 DAY = ["symbol", "day"]
@@ -160,7 +161,8 @@ _COUNTED = "^(int|uint|float|double|halffloat|decimal)"
 
 
 def _time_modes(archive: _Archive, readable: DataFrame) -> DataFrame:
-    """Per day: `ts`, or for the alias column `s`, `ms` or `parsed`, or `none`.
+    """Per day `mode`: `ts`, or for the alias column `s`, `ms` or `parsed`, or `none`; and
+    `form`, that of the texts it goes by.
 
     Footers decide wherever they can. Days they leave open (text columns, no statistics,
     a range that straddles the threshold) have their time columns read.
@@ -179,12 +181,15 @@ def _time_modes(archive: _Archive, readable: DataFrame) -> DataFrame:
     ts_sure = F.col("_ts.type").rlike(_TYPED) & F.col("_ts.n").isNotNull()
     alt_numeric = F.col("_alt.type").rlike(_COUNTED)
     alt_blank = F.coalesce(F.col("_alt.n") == 0, F.lit(False))
+    is_text = F.coalesce(F.col("_ts.type").like("%string"), F.lit(False)), F.coalesce(F.col("_alt.type").like("%string"), F.lit(False))
     per_day = facts.groupBy(*DAY, "has_ts", "alt_col").agg(
         F.bool_or(ts_sure & (F.col("_ts.n") > 0)).alias("ts_yes"),
         F.bool_and(F.coalesce((ts_sure | (F.col("_ts.n") == 0)), F.col("_ts").isNull())).alias(
             "ts_known"
         ),
         F.bool_or(alt_numeric).alias("numeric"),
+        F.bool_or(is_text[0]).alias("ts_text"),
+        F.bool_or(is_text[1]).alias("alt_text"),
         F.bool_and(
             F.coalesce(alt_blank | (F.col("_alt.lo") > MILLIS_THRESHOLD), F.col("_alt").isNull())
         ).alias("all_ms"),
@@ -202,56 +207,87 @@ def _time_modes(archive: _Archive, readable: DataFrame) -> DataFrame:
     )
     settled = per_day.select(
         *DAY,
+        "ts_text",
+        "alt_text",
         F.when(F.col("has_ts") & yes, "ts")
         .when(F.col("has_ts") & ~F.col("ts_known"), None)
         .otherwise(alias_mode)
         .alias("mode"),
     )
-    open_days = settled.where("mode IS NULL").select(*DAY)
+    is_open = F.col("mode").isNull() | F.col("ts_text") | (F.col("alt_text") & (F.col("mode") == "parsed"))
+    open_days = settled.where(is_open).select(*DAY)
+    known = settled.where(~is_open).select(*DAY, "mode", F.lit(None).cast("string").alias("form"))
     if open_days.isEmpty():
-        return settled
+        return known
 
-    pending = readable.join(open_days, DAY)
-    facts = _read_groups(archive, pending, [], _time_columns)
+    stems = _stems(archive, readable.join(open_days, DAY))
+    sums = [F.sum("n_epoch"), F.sum("n_above"), F.max("low"), F.min("high")]
     measured = (
-        facts.groupBy(*DAY)
-        .agg(*time_facts(F.col("ts"), F.col("epoch")))
-        .join(
-            per_day.select(*DAY, "alt_col", "numeric"),
-            DAY,
-        )
-        .select(
-            *DAY,
-            F.when(F.col("any_ts"), "ts")
-            .when(F.col("alt_col").isNull(), "none")
-            .when(~F.col("numeric"), "parsed")
-            .otherwise(F.col("unit"))
-            .alias("mode"),
-        )
+        per_day.join(open_days, DAY)
+        .select(*DAY, "alt_col", "numeric")
+        .join(stems.groupBy(*DAY).agg(F.bool_or("typed").alias("typed"), unit_of(*sums).alias("unit")), DAY, "left")
+        .join(_voted(stems, "ts_stem", "ts_form"), DAY, "left")
+        .join(_voted(stems, "alt_stem", "alt_form"), DAY, "left")
+    )
+    by_ts = F.coalesce("typed", F.lit(False)) | F.col("ts_form").isNotNull()
+    mode = (
+        F.when(by_ts, "ts")
+        .when(F.col("alt_col").isNull(), "none")
+        .when(~F.col("numeric"), "parsed")
+        .otherwise(F.coalesce("unit", F.lit("s")))
     )
-    return settled.where("mode IS NOT NULL").unionByName(measured)
+    form = F.when(by_ts, F.col("ts_form")).when(mode == "parsed", F.col("alt_form"))
+    return known.unionByName(measured.select(*DAY, mode.alias("mode"), form.alias("form")))
 
 
-def _time_columns(raw: DataFrame, group: Row, dtypes: dict[str, T.DataType]) -> DataFrame:
-    ts = (
-        parse_instant(F.col("ts"), dtypes["ts"])
-        if "ts" in dtypes
-        else F.lit(None).cast("timestamp")
+def _stems(archive: _Archive, pending: DataFrame) -> DataFrame:
+    """What the time columns of the pending days hold, in a row per day and stem of their
+    texts, of which a day has few; a table."""
+    facts = _read_groups(archive, pending, [], _time_columns)
+    counts = zip(("n_epoch", "n_above", "low", "high"), epoch_counts(F.col("epoch")), strict=True)
+    stems = facts.groupBy(*DAY, "ts_stem", "alt_stem").agg(
+        F.count("*").alias("n"), F.bool_or(F.col("ts").isNotNull()).alias("typed"), *[c.alias(n) for n, c in counts]
+    )
+    return materialize(stems, f"{archive.scratch}/stems")
+
+
+def _voted(stems: DataFrame, stem: str, out: str) -> DataFrame:
+    """The form of each day's texts: the one by which most are instants of the day, then of
+    the day or a day beside it, as zones may shift them, then of any day."""
+    own = stems.where(F.col(stem).isNotNull()).groupBy(*DAY, stem).agg(F.sum("n").alias("n"))
+    tried = own.select(*DAY, "n", F.explode(text_forms(F.col(stem))).alias("try"))
+    off = F.abs(utc_day_number(F.col("try.instant")) - F.unix_date("day"))
+    votes = tried.groupBy(*DAY, F.col("try.rank").alias("rank"), F.col("try.form").alias("form")).agg(
+        F.sum(F.when(off == 0, F.col("n")).otherwise(0)).alias("exact"),
+        F.sum(F.when(off <= 1, F.col("n")).otherwise(0)).alias("near"),
+        F.sum("n").alias("every"),
     )
-    alt = group.alt_col
-    epoch = (
-        F.col(alt).cast("double")
-        if alt in dtypes and is_epoch(dtypes[alt])
-        else F.lit(None).cast("double")
+    best = F.max_by("form", F.struct("exact", "near", "every", -F.col("rank"), "form"))
+    return votes.groupBy(*DAY).agg(best.alias(out))
+
+
+def _time_columns(raw: DataFrame, group: Row, dtypes: dict[str, T.DataType]) -> DataFrame:
+    """Typed `ts`, epoch counts, and the stems of texts."""
+    none, alt = F.lit(None), group.alt_col
+
+    def stem(name: str | None) -> Column:
+        return text_stem(F.col(name)) if isinstance(dtypes.get(name), T.StringType) else none.cast("string")
+
+    typed = "ts" in dtypes and not isinstance(dtypes["ts"], T.StringType)
+    ts = parse_instant(F.col("ts"), dtypes["ts"]) if typed else none.cast("timestamp")
+    counted = alt in dtypes and is_epoch(dtypes[alt])
+    epoch = F.col(alt).cast("double") if counted else none.cast("double")
+    return raw.select(
+        *DAY, ts.alias("ts"), epoch.alias("epoch"), stem("ts").alias("ts_stem"), stem(alt).alias("alt_stem")
     )
-    return raw.select(*DAY, ts.alias("ts"), epoch.alias("epoch"))
 
 
 def _tick_rows(raw: DataFrame, group: Row, dtypes: dict[str, T.DataType]) -> DataFrame:
     name = "ts" if group.mode == "ts" else group.alt_col
     if name in dtypes:
         unit = group.mode if group.mode in ("s", "ms") else None
-        ts = instant_of(name, dtypes[name], unit)
+        text = isinstance(dtypes[name], T.StringType)
+        ts = parse_text(F.col(name), group.form) if text else instant_of(name, dtypes[name], unit)
     else:
         ts = F.lit(None).cast("timestamp")
     return raw.select(
@@ -263,7 +299,7 @@ def _tick_rows(raw: DataFrame, group: Row, dtypes: dict[str, T.DataType]) -> Dat
 
 
 def _read_ticks(archive: _Archive, good: DataFrame) -> DataFrame:
-    ticks = _read_groups(archive, good, ["mode"], _tick_rows)
+    ticks = _read_groups(archive, good, ["mode", "form"], _tick_rows)
     if ticks is None:
         return good.sparkSession.createDataFrame([], _TICKS)
     return ticks.select(*TICK_COLS)

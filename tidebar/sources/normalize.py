@@ -47,15 +47,23 @@ def time_facts(ts: Column | None, epoch: Column | None) -> list[Column]:
     any_ts = F.lit(False) if ts is None else F.coalesce(F.bool_or(ts.isNotNull()), F.lit(False))
     if epoch is None:
         return [any_ts.alias("any_ts"), F.lit("s").alias("unit")]
+    n, above, low, high = epoch_counts(epoch)
+    return [any_ts.alias("any_ts"), unit_of(n, above, low, high).alias("unit")]
+
+
+def epoch_counts(epoch: Column) -> list[Column]:
+    """Aggregates from which `unit_of` tells the unit: the number of counts and of those above
+    the threshold, and the two next to it. They add up over parts of a day."""
     v = nan_to_null(epoch.cast("double"))
     above = v > MILLIS_THRESHOLD
-    twice = 2 * F.count_if(above)
+    return [F.count(v), F.count_if(above), F.max(F.when(~above, v)), F.min(F.when(above, v))]
+
+
+def unit_of(n: Column, above: Column, low: Column, high: Column) -> Column:
+    """`ms` where the median is above the threshold, else `s`."""
     # With an even count split in half, the median is the mean of the two neighbours.
-    middle = (F.max(F.when(~above, v)) + F.min(F.when(above, v))) / 2
-    ms = (twice > F.count(v)) | (
-        (F.count(v) > 0) & (twice == F.count(v)) & (middle > MILLIS_THRESHOLD)
-    )
-    return [any_ts.alias("any_ts"), F.when(ms, "ms").otherwise("s").alias("unit")]
+    ms = (2 * above > n) | ((n > 0) & (2 * above == n) & ((low + high) / 2 > MILLIS_THRESHOLD))
+    return F.when(ms, "ms").otherwise("s")
 
 
 def tick_columns(
