@@ -442,7 +442,8 @@ def _plain_archive(spark: SparkSession, sf: str, kind: str) -> str:
     """The ticks in one schema, under folders of one kind.
 
     `uniform`: `date=D/`; `bare`: `D/`; `nested`: `dt=D/h=H/`; `symbols`: a folder per event
-    type; `texts`: as `uniform` with instants as texts, in a form that varies by day.
+    type; `texts`: as `uniform` with instants as texts, in a form that varies by day; `schemas`: as
+    `uniform`, but each day has files of two schemas.
     """
     key = (spark.sparkContext.applicationId, sf, kind)
     if key in _ARCHIVES:
@@ -452,6 +453,10 @@ def _plain_archive(spark: SparkSession, sf: str, kind: str) -> str:
     if kind == "texts":
         forms = "array({})".format(", ".join(f'"{f}"' for f in TEXT_FORMS))
         time = f"date_format(ts, {forms}[day(ts) % {len(TEXT_FORMS)}]) AS timestamp"
+    if kind == "schemas":
+        out = _two_schemas(_events(spark, sf), out)
+        _ARCHIVES[key] = out
+        return out
     parts = {
         "nested": ["cast(ts AS date) AS dt", "hour(ts) DIV 12 AS h"],
         "symbols": ["event_type AS symbol", "cast(ts AS date) AS date"],
@@ -471,6 +476,19 @@ def _plain_archive(spark: SparkSession, sf: str, kind: str) -> str:
     return out
 
 
+def _two_schemas(events: DataFrame, out: str) -> str:
+    """Even events without a taker volume and with prices as texts, odd ones with columns in
+    another order and volumes as integers."""
+    day = "cast(ts AS date) AS date"
+    prices = [c.replace(_PRICE, f"CAST({_PRICE} AS string)") for c in _RAW_PRICES]
+    old = ["unix_millis(ts) AS open_time", *prices, f"{_VOLUME} AS volume", day]
+    new = [f"{_TAKER} AS taker_base", f"CAST({_VOLUME} AS int) AS volume", *_RAW_PRICES[::-1], "unix_millis(ts) AS open_time", day]
+    for odd, columns in ((0, old), (1, new)):
+        rows = events.where(f"event_id % 2 = {odd}").selectExpr(*columns)
+        rows.write.partitionBy("date").mode("append").parquet(out)
+    return out
+
+
 #: Forms of an instant to the second, by day of month.
 TEXT_FORMS = [
     "yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy HH:mm:ss", "yyyyMMdd HH:mm:ss", "dd MMM yyyy HH:mm:ss",
@@ -499,6 +517,11 @@ def q_scan_hive_uniform(spark, sf):
     return _plain_scan(spark, sf, "uniform")
 
 
+def q_scan_two_schemas(spark, sf):
+    """Files of one day that differ in columns and types are united by name."""
+    return _plain_scan(spark, sf, "schemas")
+
+
 def q_scan_bare_days(spark, sf):
     return _plain_scan(spark, sf, "bare")
 
@@ -678,6 +701,11 @@ def q_first_no_data_days(spark, sf):
     return first_days(_report(spark, sf), "no_data", 20).select("symbol", "day", "status")
 
 
+def q_first_ok_days(spark, sf):
+    """Fewer days than there are."""
+    return first_days(_report(spark, sf), "ok", 7).select("symbol", "day", "status", "n_feat_rows")
+
+
 def q_rows_per_day(spark, sf):
     return rows_per_day(_bars(spark, sf, "event_type"), "source_day", "n_feat_rows")
 
