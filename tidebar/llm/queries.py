@@ -173,6 +173,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_exact_top_k": _TOP_K,
         "op2_warc": _warc_sql(),
         "op5_chat_format": _chat_sql(),
+        "op10_minhash_near_dedup": _NEAR_DUPLICATES,
         "op11_url_filters": _URL_FILTERS,
         "op12_hard_negatives": _HARD_NEGATIVES,
         "op13_ranked_lexical_search": _LEXICAL,
@@ -307,3 +308,33 @@ WITH p AS (
 SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM p LEFT JOIN h ON p.page_id = h.page_id
 """
+
+
+#: Exact sets: all pairs that share a shingle, of classes of equal sets, and what they reach.
+_NEAR_DUPLICATES = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, md5(unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS x
+    FROM d
+), sizes AS (
+    SELECT doc_id, count(*) AS n, md5(string_agg(x, '' ORDER BY x)) AS whole FROM s GROUP BY doc_id
+), classes AS (
+    SELECT doc_id, n, min(doc_id) OVER (PARTITION BY whole) AS node FROM sizes
+), own AS (
+    SELECT s.doc_id AS node, n, x FROM s JOIN classes c ON s.doc_id = c.doc_id WHERE c.doc_id = c.node
+), pairs AS (
+    SELECT a.node AS a, b.node AS b, any_value(a.n) AS an, any_value(b.n) AS bn, count(*) AS common
+    FROM own a JOIN own b ON a.x = b.x AND a.node <> b.node GROUP BY a.node, b.node
+), links AS (SELECT a, b FROM pairs WHERE 100 * common >= 85 * (an + bn - common)),
+reached(node, root) AS (
+    SELECT DISTINCT node, node FROM classes
+    UNION SELECT b, root FROM reached JOIN links ON a = node
+), roots AS (SELECT node, min(root) AS root FROM reached GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, d.doc_id) AS component_id,
+    coalesce(root, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN classes c ON d.doc_id = c.doc_id LEFT JOIN roots r ON r.node = c.node
+"""
