@@ -4,6 +4,7 @@ import gzip
 
 import pytest
 
+from tidebar.llm.queries import op2_warc
 from tidebar.llm.warc import base32_sha1, digest_column, page_records, read_warc, record, write_pages
 
 PAGES = "page_id long, url string, html string, record_type string, payload string"
@@ -37,6 +38,9 @@ def test_round_trip(spark, tmp_path):
     read = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got]
     payload = [(bytes(r.payload) if r.record_type == "response" else None) for r in got]
     assert sorted(((*a, b) for a, b in zip(read, payload, strict=True)), key=repr) == sorted(want, key=repr)
+    named = {r.record_id: r for r in got if r.record_type == "response"}
+    assert all(named[r.refers_to_record].page_id == r.refers_to for r in got if r.record_type == "revisit")
+    assert all(r.refers_to_record is None for r in named.values())
     assert next(r for r in got if r.page_id == 3).target_uri == "http://a/ X-Page-Id: 9"
 
 
@@ -51,6 +55,11 @@ def test_filters_and_columns_are_pushed_down(spark, tmp_path):
     assert read_warc(spark, path, ["page_id"]).count() == len(ROWS)
 
 
+def test_the_query_pushes_both_filters(spark):
+    plan = op2_warc(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan warc") == 2 and "Filter (record_type" not in plan, plan
+
+
 def test_append_overwrite_and_empty(spark, tmp_path):
     path = str(tmp_path / "a")
     write_pages(pages(spark, []), path)

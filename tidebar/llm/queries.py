@@ -42,19 +42,21 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages archived, then read back; sizes and digests of responses are of what was read."""
+    """Pages archived, then read back: responses by a pushed filter, with sizes and digests of the
+    payloads read; revisits by another, from their headers alone."""
     path = scratch_dir(spark, "warc")
     write_pages(_table(spark, sf_dir, "pages"), path)
-    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
-    found = read_warc(spark, path, columns)
-    response = F.col("record_type") == "response"
-    return found.select(
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    responses = read_warc(spark, path, [*columns, "payload"]).where("record_type = 'response'")
+    revisits = read_warc(spark, path, columns).where("record_type = 'revisit'")
+    seen = responses.select(
         "page_id",
-        F.when(response, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(response, digest_column(F.col("payload"))).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        digest_column(F.col("payload")).alias("payload_digest"),
         "record_type",
         "refers_to",
     )
+    return seen.unionByName(revisits)
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

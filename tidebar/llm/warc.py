@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
@@ -41,9 +41,9 @@ from tidebar.session import materialize, scratch_dir
 #: Columns of a record: what the headers say, then the payload.
 SCHEMA = (
     "record_type string, record_id string, target_uri string, date string, page_id long, "
-    "payload_digest string, payload_bytes long, refers_to long, payload binary"
+    "payload_digest string, payload_bytes long, refers_to long, refers_to_record string, payload binary"
 )
-#: WARC header names of those columns. The last three names are extensions of our own.
+#: WARC header names of those columns. Those that begin with X are extensions of our own.
 HEADERS = {
     "record_type": "WARC-Type",
     "record_id": "WARC-Record-ID",
@@ -53,6 +53,7 @@ HEADERS = {
     "page_id": "X-Page-Id",
     "payload_bytes": "X-Payload-Length",
     "refers_to": "X-Refers-To-Page-Id",
+    "refers_to_record": "WARC-Refers-To",
 }
 LONGS = ("page_id", "payload_bytes", "refers_to")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -335,7 +336,7 @@ def page_records(pages: DataFrame) -> DataFrame:
 
     Of pages with equal payloads (html in UTF-8, null: empty) that with the smallest page_id
     is a response with the payload, as is a repeated row of it; the others are revisits that
-    name it and hold none. A null page_id is a revisit if a page with an id has its payload,
+    name it, by page and by record id, and hold none. A null page_id is a revisit if a page with an id has its payload,
     else a response. Only digests and ids are aggregated; payloads are shuffled once.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
@@ -349,17 +350,21 @@ def page_records(pages: DataFrame) -> DataFrame:
     # a table, so that the join can split the pages of a payload that very many share
     first = materialize(first, scratch_dir(pages.sparkSession, "digests"))
     revisit = ~F.col("page_id").eqNullSafe(F.col("first_id"))
+
+    def record_id(*parts) -> Column:
+        return F.concat(F.lit("<urn:uuid:"), _uuid(F.concat_ws(" ", *parts)), F.lit(">"))
+
+    of_revisit = record_id("page_id", "target_uri", "payload_digest")
     return own.join(first, "payload_digest").select(
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.concat(F.lit("<urn:uuid:"), _uuid(F.concat_ws(" ", "page_id", "target_uri", "payload_digest")), F.lit(">")).alias(
-            "record_id"
-        ),
+        F.when(revisit, of_revisit).otherwise(record_id(F.lit("response"), "page_id", "payload_digest")).alias("record_id"),
         "target_uri",
         F.lit("1970-01-01T00:00:00Z").alias("date"),
         "page_id",
         "payload_digest",
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.when(revisit, F.col("first_id")).alias("refers_to"),
+        F.when(revisit, record_id(F.lit("response"), "first_id", "payload_digest")).alias("refers_to_record"),
         F.when(~revisit, F.col("payload").cast("binary")).alias("payload"),
     )
 
