@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 
+from tidebar.llm import token_counts as module
 from tidebar.llm import units
 from tidebar.llm.pieces import Encoder, decode, decode_ids, encode, vocabulary
 from tidebar.llm.queries import op3_sentencepiece, op8_token_counts
@@ -76,6 +77,17 @@ def test_other_columns_stay_and_clashing_ones_go(spark):
     assert encode(df.limit(0), MODEL).count() == 0
 
 
+def test_whole_texts_are_encoded_where_words_depend_on_each_other(spark, library, tmp_path, monkeypatch):
+    assert module.apart(MODEL)
+    monkeypatch.setattr(library.__class__, "normalize", lambda self, text: " ".join(text.split()))
+    module.apart.cache_clear()
+    assert not module.apart(MODEL)
+    batch = pa.record_batch([pa.array([b"x"] * len(ODD)), pa.array([t or "" for t in ODD])], names=["digest", "text"])
+    got = next(module._counter(MODEL)(iter([batch])))
+    module.apart.cache_clear()
+    assert got.column(1).to_pylist() == [len(library.encode(t or "")) for t in ODD]
+
+
 def test_counts_come_from_the_cache(spark, library, tmp_path):
     rows = [(i, t, 7) for i, t in enumerate(ODD)] + [(None, "a", 7), (0, "a b", 7)]
     df = spark.createDataFrame(rows, "doc_id int, text string, n_tokens int").repartition(3)

@@ -25,6 +25,18 @@ def _processor(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
+@lru_cache(maxsize=2)
+def apart(model: str) -> bool:
+    """Whether a text's units may be encoded one by one: no piece holds a space after another
+    character, and the normaliser keeps all spaces, adding one in front."""
+    library = _processor(model)
+    names = (library.id_to_piece(i) for i in range(len(library)) if not library.is_control(i))
+    probe = "  a  b "
+    return library.normalize(probe) == f" {probe}".replace(" ", SPACE) and not any(
+        SPACE in name.lstrip(SPACE) for name in names
+    )
+
+
 def tokenizer_digest(path: str) -> str:
     with open(path, "rb") as f:
         return hashlib.sha256(f.read()).hexdigest()
@@ -39,6 +51,11 @@ def _unit_lengths(model: str, units: list[str]) -> np.ndarray:
 
 def _counter(model: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not apart(model):
+            for batch in batches:
+                coded = _processor(model).encode(batch.column(1).to_pylist(), num_threads=1)
+                yield pa.record_batch([batch.column(0), pa.array(map(len, coded), pa.int64())], ["digest", "n_tokens"])
+            return
         known: list[np.ndarray] = []
         units = Units(lambda new: known.append(_unit_lengths(model, new)), known.clear)
         for batch in batches:
@@ -59,7 +76,8 @@ def token_counts(docs: DataFrame, model: str, cache: str, limit: int = LIMIT) ->
     each, under the SHA-256 of the text with the tokenizer's own space sign as a space (the
     two encode alike). Only distinct texts that the table lacks are encoded and appended.
     Counts are the library's, without begin or end tokens; special strings inside texts are
-    plain text. A null text counts as empty: 0 bytes, 0 tokens. Repeated rows and ids keep
+    plain text. Words are encoded apart, each distinct one once per task, if the model allows
+    it (`apart`), else texts whole. A null text counts as empty: 0 bytes, 0 tokens. Repeated rows and ids keep
     their rows; other columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
