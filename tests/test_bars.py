@@ -124,6 +124,24 @@ def test_tie_break_is_independent_of_partitioning(spark):
         assert (row.open, row.close) == (0.0, 49.0)
 
 
+def test_ties_go_by_price_among_rows_of_the_outer_instants(spark):
+    rng = random.Random(8)
+    prices = [None, 0.0, -0.0, -2.5, 1.0, math.nextafter(1.0, 2.0), 5e-324, 1e300, math.inf, -math.inf]
+    rows = [
+        tick(rng.randrange(-3, 240) // 4 * 4, rng.choice(prices), symbol=rng.choice("AB"), open=rng.choice(prices))
+        for _ in range(900)
+    ]
+    got = by(minute_bars(frame(spark, rows).repartition(6), tie_break=True).select("symbol", "ts", "open", "close"), "symbol", "ts")
+    want = {}
+    for r in rows:
+        want.setdefault((r[0], r[2].replace(second=0)), []).append(r)
+    for symbol, ts, first, last in got:
+        own = want.pop((symbol, ts))
+        assert first == min((r[2], r[3]) for r in own if r[3] is not None)[1]
+        assert last == max((r[2], r[6]) for r in own if r[6] is not None)[1]
+    assert not want
+
+
 def test_plain_bars_use_hash_aggregation(spark):
     plan = day_bars(frame(spark, [tick(0, 1.0)]))._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan

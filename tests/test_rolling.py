@@ -105,6 +105,18 @@ def test_small_sums_survive_a_passing_outlier(spark):
     assert got[-1].s == pytest.approx(0.01, rel=1e-9)
 
 
+def test_totals_of_more_rows_than_the_split_was_made_for(spark):
+    """Nine million multiples of some 2^40 would overflow a BIGINT."""
+    n, w = 9_000_000, 1000
+    df = spark.range(n).selectExpr("'a' AS g", "id AS ts", "1D - (id % 7) / 1024D AS x")
+    out = rolling(df, [Roll("s", "x", "sum", w, 1), Roll("m", "x", "mean", w, w)], KEYS, method="running")
+    got = out.where(f"ts % {n // 90} = {n // 90 - 1}").select("ts", "s", "m").collect()
+    assert len(got) == 90
+    for r in got:
+        s = sum(1 - i % 7 / 1024 for i in range(r.ts - w + 1, r.ts + 1))
+        assert (r.s, r.m) == (pytest.approx(s, rel=1e-12), pytest.approx(s / w, rel=1e-12))
+
+
 def test_zero_after_movement_is_exactly_zero(spark):
     xs = [random.Random(5).random() for _ in range(50)] + [0.0] * 200
     got = rolling(frame(spark, {"a": xs}), [Roll("s", "x", "sum", 100, 1)], KEYS).orderBy("ts")

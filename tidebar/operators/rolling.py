@@ -11,7 +11,7 @@ numbers:
     loses digits once a large value has passed through, so each value is split into an
     exact integer multiple of a power of two (summed as BIGINT, no rounding) and a
     remainder below that power, whose rounding error is some 2^-66 of the largest value
-    in the group.
+    in the group. Groups of over 2^22 rows are split at a bit less for each doubling.
   * Deviations cannot be differenced safely. Rows are cut into blocks as long as the
     frame, so that a frame is the end of one block and the beginning of the next, and the
     moments of both are merged: rows outside the frame never enter.
@@ -24,8 +24,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-# Multiples stay below 2^40, so 2^23 rows can be summed in a BIGINT.
+# Multiples stay below 2^40, and lower in groups of more than 2^22 rows, so that the multiples
+# of all rows can be summed in a BIGINT.
 _SPLIT_BITS = 40
+_SUM_BITS = 62
 # Frames up to this length are cheaper to re-aggregate than to difference.
 SHORT_FRAME = 64
 
@@ -158,10 +160,14 @@ def _totalled(
 
     # 1. The scale of each column in its group: the power of two to split by.
     df = df.selectExpr(
-        "*", *framed, *[f"max(abs({x})) OVER ({over} {_WHOLE}) AS {x}_max" for x in cols]
+        "*",
+        *framed,
+        f"count(1) OVER ({over} {_WHOLE}) AS _n_rows",
+        *[f"max(abs({x})) OVER ({over} {_WHOLE}) AS {x}_max" for x in cols],
     )
     exponent = "int(ceil(log2(nullif({x}_max, 0D))))"
-    power = f"pow(2D, greatest(least({exponent}, 1020) - {_SPLIT_BITS}, -1000))"
+    bits = f"least({_SPLIT_BITS}, {_SUM_BITS} - int(ceil(log2(_n_rows))))"
+    power = f"pow(2D, greatest(least({exponent}, 1020) - {bits}, -1000))"
     df = df.selectExpr("*", *[f"{power.format(x=x)} AS {x}_q" for x in cols])
     df = df.selectExpr(
         "*", *[f"bigint(floor(coalesce({x}, 0D) / {x}_q)) AS {x}_mult" for x in cols]
