@@ -2,6 +2,7 @@
 
 import glob
 import os
+import re
 from datetime import date, datetime, timedelta
 
 import pandas as pd
@@ -213,6 +214,41 @@ def test_uniform_archive_is_one_pruned_scan(spark, tmp_path):
     assert scan(spark, tmp_path, 1, 2).ticks.count() == 20
 
 
+def test_days_of_many_schemas_are_found_by_a_filter(spark, tmp_path, monkeypatch):
+    """Schemas that change by symbol and day, and a folder that holds two of them."""
+    texts = {"close": [str(i) for i in range(10)]}
+    odd = {("A", 3), ("A", 6), ("A", 7), ("B", 0), ("C", 5)}
+    for s in "ABCD":
+        for k in range(9):
+            if (s, k) != ("B", 4):
+                kind = "date" if (s, k) != ("D", 2) else "dt"
+                data = klines(k, **texts) if (s, k) in odd else klines(k)
+                put(data, str(tmp_path), f"symbol={s}", f"{kind}={day(k)}", "x.parquet")
+    put(klines(8, **texts), str(tmp_path), "symbol=A", f"date={day(8)}", "y.parquet")
+    put(klines(1, volume=None), str(tmp_path), "symbol=C", f"date={day(1)}", "y.parquet")
+
+    def counted():
+        found = scan(spark, tmp_path / "symbol={symbol}", 0, 8, "ABC")
+        rows = found.ticks.groupBy("symbol", "source_day").agg(F.count("*"), F.count("close"))
+        return found, sorted(tuple(r) for r in rows.collect())
+
+    found, got = counted()
+    want = {(s, day(k)): 10 for s in "ABC" for k in range(9) if (s, k) != ("B", 4)}
+    want |= {("A", day(8)): 20, ("C", day(1)): 20}
+    assert got == sorted((*key, n, n) for key, n in want.items())
+    spark.conf.set("spark.sql.maxMetadataStringLength", 5000)
+    try:
+        plan = found.ticks._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)
+    # Floats and texts by runs, and the three schemas of the mixed folders by name.
+    assert len(filters) == 5 and sum(" OR " in x for x in filters) == 2
+
+    monkeypatch.setattr("tidebar.sources.klines._MOST_RUNS", 1)
+    assert counted()[1] == got
+
+
 # --- report -----------------------------------------------------------------------
 
 

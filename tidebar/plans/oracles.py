@@ -344,6 +344,7 @@ FROM facts LEFT JOIN own USING (day)""",
         "first_ok_days": f"WITH {_REPORT} SELECT symbol, day, status, n_feat_rows FROM report "
         "WHERE status = 'ok' ORDER BY day, symbol LIMIT 7",
         "scan_two_schemas": _by_minute(_ticks(taker=f"CASE WHEN event_id % 2 = 1 THEN {_TAKER} END")),
+        "scan_schema_runs": _by_minute(_ticks(taker=f"CASE WHEN day(ts) // 7 % 2 = 1 THEN {_TAKER} END")),
         "rows_per_day": f"WITH {_returns(by_type)} SELECT symbol, source_day, "
         "count(*) AS n_feat_rows FROM day GROUP BY 1, 2",
     }

@@ -443,7 +443,8 @@ def _plain_archive(spark: SparkSession, sf: str, kind: str) -> str:
 
     `uniform`: `date=D/`; `bare`: `D/`; `nested`: `dt=D/h=H/`; `symbols`: a folder per event
     type; `texts`: as `uniform` with instants as texts, in a form that varies by day; `schemas`: as
-    `uniform`, but each day has files of two schemas.
+    `uniform`, but each day has files of two schemas; `runs`: the same schemas by turns, each for
+    some days.
     """
     key = (spark.sparkContext.applicationId, sf, kind)
     if key in _ARCHIVES:
@@ -453,8 +454,8 @@ def _plain_archive(spark: SparkSession, sf: str, kind: str) -> str:
     if kind == "texts":
         forms = "array({})".format(", ".join(f'"{f}"' for f in TEXT_FORMS))
         time = f"date_format(ts, {forms}[day(ts) % {len(TEXT_FORMS)}]) AS timestamp"
-    if kind == "schemas":
-        out = _two_schemas(_events(spark, sf), out)
+    if kind in ("schemas", "runs"):
+        out = _two_schemas(_events(spark, sf), out, "event_id" if kind == "schemas" else "(day(ts) DIV 7)")
         _ARCHIVES[key] = out
         return out
     parts = {
@@ -476,15 +477,15 @@ def _plain_archive(spark: SparkSession, sf: str, kind: str) -> str:
     return out
 
 
-def _two_schemas(events: DataFrame, out: str) -> str:
-    """Even events without a taker volume and with prices as texts, odd ones with columns in
-    another order and volumes as integers."""
+def _two_schemas(events: DataFrame, out: str, number: str) -> str:
+    """Events of even number without a taker volume and with prices as texts, odd ones with
+    columns in another order and volumes as integers."""
     day = "cast(ts AS date) AS date"
     prices = [c.replace(_PRICE, f"CAST({_PRICE} AS string)") for c in _RAW_PRICES]
     old = ["unix_millis(ts) AS open_time", *prices, f"{_VOLUME} AS volume", day]
     new = [f"{_TAKER} AS taker_base", f"CAST({_VOLUME} AS int) AS volume", *_RAW_PRICES[::-1], "unix_millis(ts) AS open_time", day]
     for odd, columns in ((0, old), (1, new)):
-        rows = events.where(f"event_id % 2 = {odd}").selectExpr(*columns)
+        rows = events.where(f"{number} % 2 = {odd}").selectExpr(*columns)
         rows.write.partitionBy("date").mode("append").parquet(out)
     return out
 
@@ -522,6 +523,11 @@ def q_scan_two_schemas(spark, sf):
     return _plain_scan(spark, sf, "schemas")
 
 
+def q_scan_schema_runs(spark, sf):
+    """Days of one schema and of another are each found by a filter on their folders."""
+    return _plain_scan(spark, sf, "runs")
+
+
 def q_scan_bare_days(spark, sf):
     return _plain_scan(spark, sf, "bare")
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +34,8 @@ from tidebar.sources.normalize import (
 )
 
 DAY = ["symbol", "day"]
+# Terms of a filter on folders.
+_MOST_RUNS = 500
 _TICKS = (
     "symbol string, source_day date, ts timestamp, open double, high double, low double, "
     "close double, volume double, taker_base double"
@@ -320,27 +323,31 @@ def _read_groups(archive: _Archive, files: DataFrame, by: list[str], shape) -> D
         F.array_join(F.array_sort(described), ",").alias("types"),
     ]
     names = ["kind", "alt_col", "volume_col", "taker_col", *by, "types"]
-    keyed = files.select("path", "dir", *DAY, *key)
+    keyed = files.select("path", "dir", *DAY, *key).withColumn("group", F.to_json(F.struct(*names)))
     groups = (
-        keyed.groupBy(*names)
+        keyed.groupBy("group", *names)
         .agg(F.min("path").alias("sample"), F.count("*").alias("n_files"))
         .orderBy(*names)
     )
     # One entry per distinct schema, not per file.
     listed = groups.collect()
     in_folders = _folder_counts(archive) if listed else {}
-    whole = [g for g in listed if g.n_files == in_folders.get(g.kind)]
-    paths = _read_paths(archive, keyed, names) if len(whole) < len(listed) else {}
+    whole = [g for g in listed if g.kind in in_folders and g.n_files == in_folders[g.kind].n]
+    runs, paths = _parts(archive, keyed, in_folders) if len(whole) < len(listed) else ({}, {})
 
     pieces = []
     for group in listed:
-        mine = None if group in whole else paths[tuple(group[n] for n in names)]
+        parts = [_Part()]
+        if group not in whole:
+            parts = [_Part(runs=runs[group.group])] if group.group in runs else []
+            parts += [_Part(paths=paths[group.group])] if group.group in paths else []
 
-        def read(group=group, mine=mine) -> DataFrame:
+        def read(group=group, parts=parts) -> DataFrame:
             wanted = {t.split(":", 1)[0] for t in group.types.split(",") if t}
             schema = spark.read.parquet(group.sample).schema
             fields = [f for f in schema.fields if f.name in wanted]
-            raw = _load(archive, group.kind, fields, mine)
+            raws = [_load(archive, group.kind, fields, part) for part in parts]
+            raw = raws[0] if len(raws) == 1 else raws[0].unionByName(raws[1])
             return shape(raw, group, {f.name: f.dataType for f in fields})
 
         if "timestamp[ns" in group.types:
@@ -367,46 +374,106 @@ def _with_nanos(spark: SparkSession, read, path: str) -> DataFrame:
         spark.conf.set(name, before)
 
 
-def _folder_counts(archive: _Archive) -> dict[int, int]:
-    """Files below all `date=` (1) and all `dt=` (2) folders, at any depth."""
-    kinds = archive.files.groupBy(
-        F.when(F.col("layout").isin(1, 4), 1).when(F.col("layout").isin(2, 5), 2).alias("kind")
-    )
-    return {r.kind: r.n for r in kinds.agg(F.count("*").alias("n")).collect() if r.kind}
+class _Part(NamedTuple):
+    """What of a group is read at once: files and folders by name, runs of daily folders, or,
+    with neither, all folders of its kind."""
+
+    paths: list[str] | None = None
+    runs: list[Row] | None = None
+
+
+def _folder_kind() -> Column:
+    return F.when(F.col("layout").isin(1, 4), 1).when(F.col("layout").isin(2, 5), 2)
+
+
+def _folder_counts(archive: _Archive) -> dict[int, Row]:
+    """All `date=` (1) and all `dt=` (2) folders: how many files lie below them, at any depth,
+    and whether any lies deep."""
+    kinds = archive.files.groupBy(_folder_kind().alias("kind"))
+    counts = kinds.agg(F.count("*").alias("n"), F.max("layout").alias("deepest")).collect()
+    return {r.kind: r for r in counts if r.kind}
+
 
+def _is_hive(archive: _Archive, kind: int) -> bool:
+    """Whether folders of the kind give both symbol and day as partition columns."""
+    return kind in (1, 2) and (SYMBOL not in archive.root or archive.root.split(SYMBOL)[0].endswith("/symbol="))
 
-def _read_paths(archive: _Archive, keyed: DataFrame, names: list[str]) -> dict:
-    """Per group, the folders all of whose files belong to it, else the files themselves.
 
-    The reader takes its paths from the driver; folders keep that list to one entry per
-    symbol and day.
+def _parts(
+    archive: _Archive, keyed: DataFrame, in_folders: dict[int, Row]
+) -> tuple[dict[str, list[Row]], dict[str, list[str]]]:
+    """Per group the runs of its hive folders, and the paths of the rest: folders all of whose
+    files belong to it, else the files themselves.
+
+    A run (lo, hi, symbols) holds every folder that these symbols have between two days, so its
+    folders are found by a filter on partition columns. There are as many as schemas change, not
+    as there are days. A group that changes more than `_MOST_RUNS` times, for which a filter is
+    no use, gives its folders by name; so do kinds of folders with folders below, which
+    Spark would take for more partition columns.
     """
     totals = archive.files.groupBy("dir").agg(F.count("*").alias("_all"))
-    whole = (
-        keyed.groupBy(*names, "dir")
+    folders = (
+        keyed.groupBy("group", "kind", *DAY, "dir")
         .agg(F.count("*").alias("_mine"))
         .join(totals, "dir")
         .where("_mine = _all")
-        .select("dir", F.lit(True).alias("_whole"))
     )
+    flat = [k for k, found in in_folders.items() if _is_hive(archive, k) and found.deepest == k]
+    runs = _runs(archive, folders.where(F.col("kind").isin(flat))).collect()
+    in_runs = [g for g, n in Counter(r.group for r in runs).items() if n <= _MOST_RUNS]
+    by_run: dict[str, list[Row]] = {g: [] for g in in_runs}
+    for run in runs:
+        if run.group in by_run:
+            by_run[run.group].append(run)
+
     path = F.when(F.col("_whole"), F.col("dir")).otherwise(F.col("path")).alias("p")
-    found = keyed.join(whole, "dir", "left").select(*names, path).distinct().collect()
-    out: dict[tuple, list[str]] = {}
-    for row in found:
-        out.setdefault(tuple(row[n] for n in names), []).append(row.p)
-    return {group: sorted(paths) for group, paths in out.items()}
+    left = (
+        keyed.join(folders.select("dir", F.lit(True).alias("_whole")), "dir", "left")
+        .where(~(F.coalesce("_whole", F.lit(False)) & F.col("group").isin(in_runs)))
+        .select("group", path)
+        .distinct()
+    )
+    by_path: dict[str, list[str]] = {}
+    for row in left.collect():
+        by_path.setdefault(row.group, []).append(row.p)
+    return by_run, {group: sorted(paths) for group, paths in by_path.items()}
+
+
+def _runs(archive: _Archive, folders: DataFrame) -> DataFrame:
+    """group, lo, hi, symbols: days that follow each other among a symbol's folders of a kind,
+    equal runs of many symbols in one row."""
+    places = Window.partitionBy("symbol", "kind").orderBy("day")
+    every = archive.files.select(*DAY, _folder_kind().alias("kind")).where("kind IS NOT NULL").distinct()
+    own = Window.partitionBy("group", "symbol").orderBy("day")
+    run = F.col("_place") - F.row_number().over(own)
+    return (
+        folders.join(every.withColumn("_place", F.row_number().over(places)), [*DAY, "kind"])
+        .select("group", *DAY, run.alias("_run"))
+        .groupBy("group", "symbol", "_run")
+        .agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+        .groupBy("group", "lo", "hi")
+        .agg(F.sort_array(F.collect_list("symbol")).alias("symbols"))
+        .orderBy("group", "lo", "hi")
+    )
+
+
+def _within(runs: list[Row], symbols: list[str]) -> Column:
+    """Whether symbol and day lie in one of the runs; halved, so that the condition stays flat."""
+    if len(runs) > 1:
+        half = len(runs) // 2
+        return _within(runs[:half], symbols) | _within(runs[half:], symbols)
+    days = F.col("day").between(F.lit(runs[0].lo), F.lit(runs[0].hi))
+    return days if set(symbols) <= set(runs[0].symbols) else F.col("symbol").isin(runs[0].symbols) & days
 
 
-def _load(
-    archive: _Archive, kind: int, fields: list[T.StructField], paths: list[str] | None
-) -> DataFrame:
+def _load(archive: _Archive, kind: int, fields: list[T.StructField], part: _Part) -> DataFrame:
     """Rows with `symbol` and `day`. Hive-style folders give both as partition columns,
     which cost nothing per row; other folders have them cut from the file's path."""
     spark = archive.files.sparkSession
     reader = spark.read.option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", True)
     head = archive.root.split(SYMBOL)[0] if SYMBOL in archive.root else None
-    hive_symbol = head is None or head.endswith("/symbol=")
-    if kind in (1, 2) and hive_symbol:
+    paths = part.paths
+    if _is_hive(archive, kind):
         name = {1: "date", 2: "dt"}[kind]
         schema = T.StructType(list(fields)).add(name, T.DateType())
         base = archive.root.rstrip("/")
@@ -420,7 +487,8 @@ def _load(
         raw = reader.schema(schema).option("basePath", base).parquet(*paths)
         symbol = F.lit(archive.symbols[0]) if head is None else F.col("symbol")
         raw = raw.select(symbol.alias("symbol"), F.col(name).alias("day"), *[f.name for f in fields])
-        return raw.where(F.col("day").between(F.lit(archive.start), F.lit(archive.end)))
+        raw = raw.where(F.col("day").between(F.lit(archive.start), F.lit(archive.end)))
+        return raw.where(_within(part.runs, archive.symbols)) if part.runs else raw
 
     globbed = paths is None
     if globbed:
@@ -440,5 +508,5 @@ def _load(
         F.regexp_extract(path, pattern, day_at).cast("date").alias("day"),
         *[f.name for f in fields],
     )
-    # Chosen paths lie in the wanted days; a glob of months may not.
+    # Chosen paths lie in the wanted days; what a glob matches may not.
     return raw.where(F.col("day").between(F.lit(archive.start), F.lit(archive.end))) if globbed else raw

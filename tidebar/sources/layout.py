@@ -36,13 +36,18 @@ def root_pattern(root: str) -> str:
 
 
 def day_glob(root: str, symbols: list[str], start: date, end: date, prefixes: str) -> str:
-    """Glob for the daily folders of the months in `[start, end]`."""
-    months, d = [], start.replace(day=1)
-    while d <= end:
-        months.append(d.strftime("%Y-%m"))
-        d = (d + timedelta(days=31)).replace(day=1)
+    """Glob for the daily folders of `[start, end]`: whole months, and the days of others."""
+    wanted, first = [], start.replace(day=1)
+    while first <= end:
+        after = (first + timedelta(days=31)).replace(day=1)
+        if start <= first and after <= end + timedelta(days=1):
+            wanted.append(f"{first:%Y-%m}-??")
+        else:
+            days = (first + timedelta(days=i) for i in range((after - first).days))
+            wanted += [str(d) for d in days if start <= d <= end]
+        first = after
     names = symbols[0] if len(symbols) == 1 else "{" + ",".join(symbols) + "}"
-    return f"{root.rstrip('/').replace(SYMBOL, names)}/{prefixes}{{{','.join(months)}}}-??"
+    return f"{root.rstrip('/').replace(SYMBOL, names)}/{prefixes}{{{','.join(wanted)}}}"
 
 
 def check_root(root: str, symbols: list[str]) -> None:
