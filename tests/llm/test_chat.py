@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidebar.llm.chat import as_events, escape, masked, messages, parse, render, unescape
+from tidebar.llm.chat import PIECE, as_events, escape, masked, messages, parse, render, unescape
 
 LOG = "conv_id long, turn long, seq long, kind string, role string, text string, formatted string"
 
@@ -63,3 +63,16 @@ def test_render_and_read_back(spark):
         assert got[conv].learned == "".join(r[3] or "" for r in own if r[2] == "assistant")
     assert got[1].formatted.startswith("<s>[ROLE]user[/ROLE][INST] hi [/INST]</s>[ROLE]assistant[/ROLE]𝄞 yes</s>")
     assert render(messages(as_events(df.limit(0)))).collect() == []
+
+
+def test_logs_lead_back_to_the_messages(spark):
+    long = "".join(random.Random(5).choices("ab𝄞\n é", k=3 * PIECE + 7))
+    texts = ["", None, "x", long, long[: 2 * PIECE], "</s>"]
+    rows = [(c, t, "assistant" if t % 2 else "user", texts[(c + t) % len(texts)]) for c in range(6) for t in range(7)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    log = as_events(df)
+    assert {r.kind: r.n for r in log.groupBy("kind").agg(F.count("*").alias("n")).collect()}.keys() == {"delta", "edit", "regenerate"}
+    assert log.where(F.length("text") > PIECE).count() == 0 and log.count() > 2 * len(rows)
+    mixed = messages(log.repartition(5, F.rand(1)))
+    assert sorted(tuple(r) for r in mixed.collect()) == [(c, t + 1, role, text or "") for c, t, role, text in rows]
+    assert sorted(fold([tuple(r) for r in log.collect()]).items()) == [((c, t + 1), (role, text or "")) for c, t, role, text in rows]

@@ -21,6 +21,8 @@ ASK, ASK_END = "[INST] ", " [/INST]"
 USER, ASSISTANT = "user", "assistant"
 
 DELTA, EDIT, REGENERATE = "delta", "edit", "regenerate"
+# Code points of a delta, at most, of the logs made here.
+PIECE = 256
 
 _NAMES = r"/?(?:s>|ROLE\]|INST\])"
 _ESCAPE = rf"([<\[])(\\*{_NAMES})"
@@ -138,17 +140,45 @@ def masked(formatted: Column, loss: Column) -> Column:
 
 
 def as_events(conversations: DataFrame) -> DataFrame:
-    """A table of whole messages, conv_id, turn, role, text, as the log that streams them.
-
-    Each row is the one delta of a message of its own: rows that share a turn, repeated ones
-    too, are told apart by their number in order of turn, role and text, nulls first.
+    """A table of whole messages, conv_id, turn, role, text, as a log that leads to them.
+
+    Rows that share a turn, repeated ones too, are told apart by their number in order of turn,
+    role and text, nulls first, which becomes the turn. A text is streamed in deltas of up to
+    `PIECE` code points, an empty or null one in an empty delta. Of three messages one is
+    streamed right away, one starts with a delta that a regeneration then discards, and one with
+    a delta that an edit replaces by the text's first piece. Only the first event of a message
+    names its role, and a message's events come last first: `seq` alone gives their order.
     """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    return conversations.select(
+    pieces = F.regexp_extract_all(
+        F.coalesce("text", F.lit("")), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)
+    )
+
+    def event(kind: str, text: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), text.alias("text"))
+
+    def deltas(texts: Column) -> Column:
+        return F.transform(texts, lambda x: event(DELTA, x))
+
+    stale = event(DELTA, F.element_at("pieces", -1))
+    rest = F.slice("pieces", F.lit(2), F.size("pieces"))
+    log = (
+        F.when(F.col("turn") % 3 == 1, F.concat(F.array(stale, event(REGENERATE, F.lit(None).cast("string"))), deltas(F.col("pieces"))))
+        .when(F.col("turn") % 3 == 2, F.concat(F.array(stale, event(EDIT, F.element_at("pieces", 1))), deltas(rest)))
+        .otherwise(deltas(F.col("pieces")))
+    )
+    log = F.transform(log, lambda e, i: e.withField("seq", i))
+    events = conversations.select(
         "conv_id",
         F.row_number().over(order).alias("turn"),
-        F.lit(0).alias("seq"),
-        F.lit(DELTA).alias("kind"),
         "role",
-        "text",
+        F.when(F.size(pieces) > 0, pieces).otherwise(F.array(F.lit(""))).alias("pieces"),
+    ).select("conv_id", "turn", "role", F.explode(F.reverse(log)).alias("e"))
+    return events.select(
+        "conv_id",
+        "turn",
+        F.col("e.seq").alias("seq"),
+        F.col("e.kind").alias("kind"),
+        F.when(F.col("e.seq") == 0, F.col("role")).alias("role"),
+        F.col("e.text").alias("text"),
     )
