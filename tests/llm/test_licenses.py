@@ -5,7 +5,7 @@ import re
 import re._parser as parser
 from dataclasses import replace
 
-from tidebar.llm.licenses import BASE, rules, scan
+from tidebar.llm.licenses import BASE, GATE, rules, scan
 from tidebar.llm.queries import op4_license_scan
 
 SF = "/root/testdata/sf0.001"
@@ -89,6 +89,8 @@ def alternatives(parsed):
         name = str(op)
         if name == "LITERAL":
             parts.append([chr(arg)])
+        elif name == "NOT_LITERAL":
+            parts.append(["w"])
         elif name == "IN":
             parts.append([chr(a) if str(o) == "LITERAL" else chr(a[0]) if str(o) == "RANGE" else "x" for o, a in arg])
         elif name == "MAX_REPEAT":
@@ -113,3 +115,32 @@ def test_keywords_lose_no_hit(spark, monkeypatch):
     check(rows, texts)
     labels = {r.doc_id: r.labels.split(",") for r in rows}
     assert "mit" in labels[-1] and labels[-2] == ["other"] and "lgpl" in labels[-3]
+
+
+def test_sentences_exceptions_choices_and_refusals(spark):
+    texts = {
+        "You may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0": "apache-2",
+        "Neither the name may be used to endorse or promote products derived from this software without specific prior written permission.": "bsd-3",
+        "published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version": "gpl-3-or-later",
+        "GPL-2.0-or-later WITH Classpath-exception-2.0": "classpath-exception,gpl-2-or-later",
+        "Dual-licensed: MIT OR Apache-2.0": "dual",
+        "https://creativecommons.org/licenses/by-nc-sa/4.0/": "cc-by-nc-sa",
+        "It is not licensed under the GNU General Public License, version 3.": "not-licensed",
+        "It is not released under the MIT license but licensed under the Apache License, Version 2.0": "apache-2,not-licensed",
+        "The origin of this software must not be misrepresented; you must not claim that you wrote the original software.": "zlib",
+        "limits and permits": "",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    rows = scan(df).collect()
+    check(rows, dict(enumerate(texts)))
+    got = {list(texts)[r.doc_id]: set(r.labels.split(",")) for r in rows}
+    for text, labels in texts.items():
+        assert set(labels.split(",")) <= got[text], (text, got[text])
+    assert not got["It is not licensed under the GNU General Public License, version 3."] & {"gpl", "gpl-3"}
+    assert got["limits and permits"] == {""}
+
+
+def test_every_rule_passes_the_gate(spark):
+    lines = sorted({t for r in rules() for t in alternatives(parser.parse(r.pattern))})
+    df = spark.createDataFrame([(t,) for t in lines], "t string")
+    assert [r.t for r in df.where(~df.t.rlike(GATE)).collect()] == []

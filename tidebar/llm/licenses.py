@@ -102,10 +102,88 @@ OTHERS = [
     ("other", "licen", r"licen[cs]ed under", 0.2),
 ]
 
+#: Sentences of the licenses themselves, of the notices that grant them, of exceptions and of
+#: choices between licenses, as the others: they rank with the surest form.
+TEXTS = [
+    ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", 1.0),
+    ("mit", "notice", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 0.95),
+    ("mit-0", "hereby", r"hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided", 1.0),
+    ("x11", "advertising", r"except as contained in this notice the name of [^ ]+(?: [^ ]+){0,6} shall not be used in advertising", 0.95),
+    ("bsd-2", "redistributions", r"redistributions in binary form must reproduce the above copyright notice", 0.85),
+    ("bsd-3", "endorse", r"(?:may|must|shall) not be used to endorse or promote products derived from this software", 0.95),
+    ("bsd-3", "endorse", r"may be used to endorse or promote products derived from this software without specific prior written permission", 0.95),
+    ("bsd-4", "advertising", r"all advertising materials mentioning features or use of this software must display", 0.95),
+    ("0bsd", "fee", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software is provided", 1.0),
+    ("isc", "fee", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted provided that", 1.0),
+    ("ntp", "fee", r"permission to use copy modify and distribute this software and its documentation for any purpose (?:with or )?without fee", 0.95),
+    ("apache-2", "apache", r"you may not use this file except in compliance with the license you may obtain a copy of the license at(?: https?)? www apache org", 1.0),
+    ("apache-2", "apache", r"www apache org licenses license 2 0", 1.0),
+    ("apache-2", "contributor", r"each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable (?:copyright|patent|except)", 0.95),
+    ("apache-1", "apache", r"this product includes software developed by the apache (?:group|software foundation)", 0.85),
+    ("gpl-2-or-later", "foundation", r"published by the free software foundation either version 2 of the license or at your option any later version", 0.95),
+    ("gpl-3-or-later", "foundation", r"published by the free software foundation either version 3 of the license or at your option any later version", 0.95),
+    ("lgpl-2.1-or-later", "foundation", r"published by the free software foundation either version 2 1 of the license or at your option any later version", 0.95),
+    ("gpl-2-or-later", "gpl", r"gpl ?v?2(?: 0)?(?: or later| plus)|gpl 2 0 or newer", 0.9),
+    ("gpl-3-or-later", "gpl", r"gpl ?v?3(?: 0)?(?: or later| plus)|gpl 3 0 or newer", 0.9),
+    ("agpl-3-or-later", "agpl", r"agpl ?v?3(?: 0)?(?: or later| plus)", 0.9),
+    ("lgpl-2.1-or-later", "lgpl", r"lgpl ?v?2(?: 1)?(?: or later| plus)", 0.9),
+    ("lgpl-3-or-later", "lgpl", r"lgpl ?v?3(?: 0)?(?: or later| plus)", 0.9),
+    ("gpl", "warranty", r"without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license", 0.95),
+    ("lgpl", "warranty", r"without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu (?:lesser|library) general public license", 0.95),
+    ("agpl-3", "warranty", r"without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu affero general public license", 0.95),
+    ("gpl", "freedom", r"the licenses for most software are designed to take away your freedom to share and change it", 0.95),
+    ("gpl-3", "copyleft", r"the gnu general public license is a free copyleft license for software and other kinds of works", 1.0),
+    ("agpl-3", "interacting", r"your modified version must prominently offer all users interacting with it remotely through a computer network", 1.0),
+    ("classpath-exception", "classpath", r"classpath exception(?: 2 0)?", 0.9),
+    ("linking-exception", "special", r"as a special exception (?:[^ ]+ ){0,12}permission to link", 0.9),
+    ("linking-exception", "linking", r"linking exception", 0.9),
+    ("linking-exception", "independent", r"link this library with independent modules to produce an executable", 0.95),
+    ("openssl-exception", "openssl", r"permission to link (?:[^ ]+ ){0,10}with the openssl library|openssl (?:linking )?exception", 0.9),
+    ("gcc-exception", "runtime", r"gcc runtime library exception(?: 3 1)?", 0.95),
+    ("font-exception", "font", r"font embedding exception|gpl font exception", 0.9),
+    ("llvm-exception", "llvm", r"(?:with )?llvm exceptions?", 0.9),
+    ("mpl-2", "mozilla", r"this source code form is subject to the terms of the mozilla public license v 2 0", 1.0),
+    ("mpl-1.1", "mozilla", r"the contents of this file are subject to the mozilla public license version 1 1", 1.0),
+    ("epl-2", "eclipse", r"this program and the accompanying materials are made available under the terms of the eclipse public license(?: v)? 2 0", 1.0),
+    ("epl-1", "eclipse", r"this program and the accompanying materials are made available under the terms of the eclipse public license v1 0", 1.0),
+    ("cddl-1", "distribution", r"the contents of this file are subject to the terms of the common development and distribution license", 1.0),
+    ("bsl-1", "boost", r"distributed under the boost software license version 1 0", 1.0),
+    ("zlib", "origin", r"the origin of this software must not be misrepresented you must not claim that you wrote the original software", 1.0),
+    ("zlib", "altered", r"altered source versions must be plainly marked as such", 0.9),
+    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain", 1.0),
+    ("wtfpl", "fuck", r"do what the fuck you want to public license", 1.0),
+    ("cc0-1", "waived", r"waived all copyright and related or neighboring rights", 0.95),
+    ("cc-by", "creativecommons", r"creativecommons org licenses by [1-4] [05]", 1.0),
+    ("cc-by-sa", "creativecommons", r"creativecommons org licenses by sa [1-4] [05]", 1.0),
+    ("cc-by-nd", "creativecommons", r"creativecommons org licenses by nd [1-4] [05]", 1.0),
+    ("cc-by-nc", "creativecommons", r"creativecommons org licenses by nc [1-4] [05]", 1.0),
+    ("cc-by-nc-sa", "creativecommons", r"creativecommons org licenses by nc sa [1-4] [05]", 1.0),
+    ("cc-by-nc-nd", "creativecommons", r"creativecommons org licenses by nc nd [1-4] [05]", 1.0),
+    ("cc0-1", "creativecommons", r"creativecommons org publicdomain zero 1 0", 1.0),
+    ("ofl-1.1", "reserved", r"no modified version of the font software may use the reserved font name", 0.95),
+    ("postgresql", "documentation", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement", 1.0),
+    ("openssl", "openssl", r"this product includes software developed by the openssl project", 0.95),
+    ("gfdl", "documentation", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", 1.0),
+    ("busl-1.1", "business", r"business source license(?: 1 1)?", 0.9),
+    ("sspl-1", "server", r"server side public license(?: v(?:ersion)? ?1)?", 0.9),
+    ("elastic-2", "elastic", r"elastic license(?: v?2(?: 0)?)?", 0.85),
+    ("commons-clause", "commons", r"commons clause(?: license condition)?", 0.85),
+    ("dual", "dual", r"dual licen[cs]ed", 0.8),
+    ("dual", "option", r"at your option under (?:the terms of )?either", 0.8),
+    ("dual", "either", r"either the (?:[^ ]+ ){1,6}or the (?:[^ ]+ ){1,6}licen[cs]e", 0.7),
+    ("dual", "apache", r"(?:mit or apache 2 0|apache 2 0 or mit)", 0.9),
+]
+
+#: What a text may say that it is not; a refusal ranks above all, so the grant that it holds is none.
+REFUSED = ["licensed", "licenced", "released", "distributed", "published", "available", "provided"]
+REFUSAL = ("not-licensed", 0.3)
+
 #: Without one of these no rule and no phrase can hit.
 GATE = (
     r"(?i)licen[cs]|cc[\x00-/:-@\[-`{-\x7f]+by|spdx|copyleft|proprietary|unlicense|reserved|"
-    r"domain|hereby|redistribut|permission|under|terms|subject|governed|covered|accordance"
+    r"domain|hereby|redistribut|permission|under|terms|subject|governed|covered|accordance|"
+    r"copyright|advertising|endorse|exception|freedom|interacting|independent|apache|altered|"
+    r"origin|waived|clause|openssl|gpl"
 )
 
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -121,14 +199,26 @@ class Rule:
     score: float
 
 
+def _whole_words(pattern: str) -> str:
+    return rf"(?<= )(?:{pattern})(?= )"
+
+
 def rules() -> list[Rule]:
-    """Every family in every form, then the others; a smaller number is a higher priority."""
+    """Refusals, then every family in every form, texts with the first, then the others; a smaller
+    number is a higher priority. A keyword starts a word of every hit."""
     out = []
+    names = "|".join(sorted((name for _, _, name in FAMILIES), key=lambda n: (-len(n), n)))
+    label, score = REFUSAL
+    for verb in REFUSED:
+        grant = rf"not {verb} under (?:the )?(?:terms of )?(?:the )?(?:{names})(?: licen[cs]e)?"
+        out.append(Rule(-1, label, f"not {verb} under", _whole_words(grant), score))
+    for label, keyword, pattern, score in TEXTS:
+        out.append(Rule(0, label, keyword, _whole_words(pattern), score))
     for rank, (form, score) in enumerate(FORMS):
         for label, keyword, name in FAMILIES:
-            out.append(Rule(rank, label, keyword, rf"(?<= ){form.replace('NAME', name)}(?= )", score))
+            out.append(Rule(rank, label, keyword, _whole_words(form.replace("NAME", name)), score))
     for label, keyword, pattern, score in OTHERS:
-        out.append(Rule(len(FORMS), label, keyword, rf"(?<= ){pattern}(?= )", score))
+        out.append(Rule(len(FORMS), label, keyword, _whole_words(pattern), score))
     return out
 
 
@@ -139,7 +229,7 @@ def _rule_table() -> Column:
             F.struct(
                 F.lit(r.priority).alias("priority"),
                 F.lit(r.label).alias("label"),
-                F.lit(r.keyword).alias("keyword"),
+                F.lit(f" {r.keyword}").alias("keyword"),
                 F.lit(r.pattern).alias("pattern"),
                 F.lit(r.score).alias("score"),
             )
