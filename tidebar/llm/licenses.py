@@ -223,17 +223,23 @@ def rules() -> list[Rule]:
 
 
 def _rule_table() -> Column:
-    """The rules as a literal array of structs."""
+    """The rules as a literal array of keywords, each with an array of its rules."""
+    by_keyword: dict[str, list[Rule]] = {}
+    for r in rules():
+        by_keyword.setdefault(r.keyword, []).append(r)
+
+    def entry(r: Rule) -> Column:
+        return F.struct(
+            F.lit(r.priority).alias("priority"),
+            F.lit(r.label).alias("label"),
+            F.lit(r.pattern).alias("pattern"),
+            F.lit(r.score).alias("score"),
+        )
+
     return F.array(
         *(
-            F.struct(
-                F.lit(r.priority).alias("priority"),
-                F.lit(r.label).alias("label"),
-                F.lit(f" {r.keyword}").alias("keyword"),
-                F.lit(r.pattern).alias("pattern"),
-                F.lit(r.score).alias("score"),
-            )
-            for r in rules()
+            F.struct(F.lit(f" {keyword}").alias("keyword"), F.array(*map(entry, own)).alias("rules"))
+            for keyword, own in by_keyword.items()
         )
     )
 
@@ -245,7 +251,8 @@ def _hits(words: str) -> str:
     places.
     """
     return f"""
-        flatten(transform(filter(rules, r -> contains({words}, r.keyword) AND {words} rlike r.pattern), r ->
+        flatten(transform(filter(flatten(transform(filter(rules, k -> contains({words}, k.keyword)), k -> k.rules)),
+            r -> {words} rlike r.pattern), r ->
             aggregate(
                 zip_with(split({words}, r.pattern, -1), regexp_extract_all({words}, r.pattern, 0),
                     (g, h) -> named_struct('gap', g, 'hit', h)),
