@@ -42,6 +42,15 @@ def test_neighbours_of_a_node_are_dealt_to_parts(spark):
     assert parts.agg(F.max("count")).first()[0] < 2 * 10_000 / SALTS
 
 
+def test_no_broadcast_of_parts_is_left_in_executors(spark, capsys):
+    pairs = spark.range(1_000).select((F.col("id") % 7).alias("u"), F.col("id").alias("v"))
+    spread = _with_least(pairs)
+    assert spread.where("m <> u").count() == 0
+    spread.explain()
+    joins = [x for x in capsys.readouterr().out.splitlines() if "Join [u#" in x and ", part#" in x]
+    assert joins and all("SortMergeJoin" in x for x in joins)
+
+
 def test_text_nodes_and_no_edges(spark):
     edges = spark.createDataFrame([("b", "a"), ("c", "b"), ("d", "d"), (None, "x")], "a string, b string")
     got = {r.node: r.root for r in connected_components(edges).collect()}

@@ -29,7 +29,9 @@ def _with_least(pairs: DataFrame) -> DataFrame:
     least = parts.groupBy("u").agg(F.min("own").alias("m"))
     # all three take the same columns of `salted`, so that one exchange serves them
     spread = parts.join(least, "u").select("u", "part", F.least("own", "m").alias("m"))
-    return salted.join(spread, ["u", "part"]).select("u", "v", "m")
+    # merged, since a broadcast with a key of two longs fills a memory page (32 MB of a heap of
+    # 1.8 GB) of every executor, however small it is, and those of all rounds would add up there
+    return salted.join(spread.hint("merge"), ["u", "part"]).select("u", "v", "m")
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
