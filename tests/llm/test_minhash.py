@@ -5,7 +5,8 @@ import random
 from pyspark.sql import functions as F
 
 from tidebar.llm.graph import connected_components
-from tidebar.llm.minhash import near_duplicates
+from tidebar.llm.minhash import _paired, near_duplicates
+from tidebar.session import materialize, scratch_dir
 
 SCHEMA = "doc_id long, text string, grp string, node long, members long"
 
@@ -79,3 +80,27 @@ def test_components_of_a_long_chain(spark):
     got = connected_components(edges.union(edges).union(spark.sql("select 9L, null")))
     assert got.select("root").distinct().collect() == [(0,)]
     assert got.count() == 201
+
+
+def test_rows_of_blocks_do_not_pass_the_driver(spark, capsys):
+    """2,000 unlinked classes of a group have 64,000 rows in blocks, but some kilobytes of members."""
+    n = 2_000
+    sets = spark.range(n).selectExpr(
+        "id node", "0L grp", f"{n}L members", "sequence(id, id + 199) shingles", "array(id) signs"
+    )
+    sets = materialize(sets, scratch_dir(spark, "sets"))
+    members = sets.select("node", "grp", "members", F.col("node").alias("comp"))
+    members = materialize(members.coalesce(1), scratch_dir(spark, "members"))
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "256k")
+    try:
+        paired = _paired(members, sets)
+        sides = paired.groupBy("left").count().collect()
+        capsys.readouterr()
+        paired.explain()
+    finally:
+        spark.conf.set(name, before)
+    assert {r.left: r["count"] for r in sides} == {True: 16 * (n - 1), False: 16 * n}
+    joins = [x for x in capsys.readouterr().out.splitlines() if "Join [node#" in x]
+    assert joins and all("SortMergeJoin" in x for x in joins)

@@ -178,19 +178,8 @@ def _group(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({k: pa.array([x[i] for x in found], pa.int64()) for i, k in enumerate("ab")})
 
 
-def _large_groups(sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) within groups of over `BLOCK` classes."""
-    spark = sets.sparkSession
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    close = 100 * common >= percent * (F.size("x") + F.size("y") - common)
-    direct = stars.join(one, "a").join(two, "b").where(close).select("a", "b")
-    direct = materialize(direct, scratch_dir(spark, "direct"))
-    comps = connected_components(direct).withColumnRenamed("root", "comp")
-    members = sets.select("node", "grp", "members").distinct().join(comps, "node", "left")
-    members = members.withColumn("comp", F.coalesce("comp", "node"))
-    members = materialize(members, scratch_dir(spark, "members"))
+def _paired(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of blocks (grp, i, j) in which classes outside a group's largest component meet all others."""
     sizes = members.groupBy("grp", "comp").agg(F.count("*").alias("n"))
     best = sizes.groupBy("grp").agg(
         F.max(F.struct("n", "comp"))["comp"].alias("main"),
@@ -213,7 +202,26 @@ def _large_groups(sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("n_left") - 1)).alias("i"),
         F.col("all_block").alias("j"),
     )
-    blocks = left.unionByName(right).join(sets.select("node", "shingles", "signs"), "node")
+    # a node has a row per block it meets, which Spark does not foresee from the few bytes of `members`:
+    # it would send all rows through the driver, and they grow with the square of a group
+    pairs = left.unionByName(right).hint("merge")
+    return pairs.join(sets.select("node", "shingles", "signs"), "node")
+
+
+def _large_groups(sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) within groups of over `BLOCK` classes."""
+    spark = sets.sparkSession
+    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    close = 100 * common >= percent * (F.size("x") + F.size("y") - common)
+    direct = stars.join(one, "a").join(two, "b").where(close).select("a", "b")
+    direct = materialize(direct, scratch_dir(spark, "direct"))
+    comps = connected_components(direct).withColumnRenamed("root", "comp")
+    members = sets.select("node", "grp", "members").distinct().join(comps, "node", "left")
+    members = members.withColumn("comp", F.coalesce("comp", "node"))
+    members = materialize(members, scratch_dir(spark, "members"))
+    blocks = _paired(members, sets)
     found = blocks.groupBy("grp", "i", "j").applyInArrow(
         lambda t: _group(t, percent), "a long, b long"
     )
