@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidebar.llm import topk
-from tidebar.llm.topk import bound, cover_tree, quantized, top_k
+from tidebar.llm.topk import Best, bound, cover_tree, flat_tree, quantized, top_k, tree_of
 
 PAIR = "vec_id long, vector array<long>"
 
@@ -83,3 +84,61 @@ def test_quantized(spark):
     df = spark.createDataFrame(rows, "v array<double>")
     got = [r[0] for r in df.select(quantized(df.v)).collect()]
     assert got == [[32, -1], None, None, None, None, []]
+
+
+def packed(name, x, ids, sample=None, k=5):
+    columns = {"block": [name] * len(x), "key": [f"v{i}" for i in ids], "vector": x, "ids": [[i, i + 10_000] for i in ids]}
+    table = topk._packed(len(x[0]), sample, k)(pa.table(columns))
+    return table.append_column("query", pa.array([sample is not None]))
+
+
+@pytest.mark.parametrize("large", [5, 3_000, 2**30])
+def test_a_search_builds_no_tree_and_meets_no_small_nodes(monkeypatch, large):
+    rng = np.random.default_rng(6)
+    x = rng.integers(-large, large, (400, 6)).tolist()
+    x[7], x[8] = x[5], [0] * 6
+    blocks = [packed("a", x[:250], range(250)), packed("b", x[250:], range(250, 400))]
+    blocks.append(packed("q", x[:90], range(90), np.array(x[:30])))
+    monkeypatch.setattr(topk, "cover_tree", None)
+    bounds = []
+    monkeypatch.setattr(topk, "bound", lambda a, b: bounds.append(1) or bound(a, b))
+    found = topk._search(6, 5)(pa.concat_tables(blocks, promote_options="default")).to_pylist()
+    got = {f"v{i}": [] for i in range(90)}
+    for r in found:
+        assert r["ids"] == [r["least"], r["least"] + 10_000]
+        got[r["key"]].append((-r["score"], r["least"]))
+    for i in range(90):
+        every = sorted((-sum(a * b for a, b in zip(x[i], y, strict=True)), j) for j, y in enumerate(x))
+        assert got[f"v{i}"] == every[:5]
+    assert len(bounds) <= 60
+
+
+def test_flat_trees_are_the_same_trees(monkeypatch):
+    monkeypatch.setattr(topk, "LEAF", 3)
+    x = np.random.default_rng(7).normal(size=(150, 4))
+    x[20:60] = x[3]
+    order, root = cover_tree(x)
+
+    def parts(node):
+        own = (node.center.tolist(), node.radius, node.first, node.last)
+        return own, [parts(c) for c in node.children]
+
+    assert parts(tree_of(flat_tree(root, order), x[order])) == parts(root)
+
+
+def test_hits_that_wait_are_ranked_as_one_by_one():
+    rng = np.random.default_rng(8)
+    least = np.iinfo(np.int64).min
+    best, every = Best(3, np.full(4, least)), [[] for _ in range(4)]
+    for at in range(0, 60, 6):
+        scores, ids = rng.integers(-4, 4, (2, 6)), rng.permutation(6) + 100 * at
+        first = int(rng.integers(0, 3))
+        best.add(first, scores.astype(rng.choice(["f4", "f8", "i8"])), ids, ids + 1)
+        for q, row in enumerate(scores):
+            every[first + q] += [(-int(s), int(i)) for s, i in zip(row, ids, strict=True)]
+    query, score, ident, at = best.settle()
+    got = [[(-int(s), int(i)) for q, s, i in zip(query, score, ident, strict=True) if q == n] for n in range(4)]
+    best_3 = [sorted(e)[:3] for e in every]
+    assert got == best_3
+    assert (at == ident + 1).all()
+    assert best.floor.tolist() == [-e[2][0] if len(e) == 3 else least for e in best_3]
