@@ -8,6 +8,7 @@ import pytest
 
 from tidebar.llm import topk
 from tidebar.llm.topk import Best, bound, cover_tree, flat_tree, quantized, top_k, tree_of
+from tidebar.session import materialize
 
 PAIR = "vec_id long, vector array<long>"
 
@@ -142,3 +143,22 @@ def test_hits_that_wait_are_ranked_as_one_by_one():
     assert got == best_3
     assert (at == ident + 1).all()
     assert best.floor.tolist() == [-e[2][0] if len(e) == 3 else least for e in best_3]
+
+
+def test_cells_are_split_without_dealing_vectors_out_by_cell(spark, small, monkeypatch):
+    plans = []
+
+    def kept(df, path):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, path)
+
+    monkeypatch.setattr(topk, "materialize", kept)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rng = random.Random(9)
+        cands = [(i, [rng.randrange(-9, 10) for _ in range(3)]) for i in range(200)]
+        assert run(spark, cands[::20], cands) == brute(cands[::20], cands, 5)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    blocks = [p for p in plans if "FlatMapGroupsInArrow" in p and "block" in p]
+    assert blocks and not [p for p in blocks if "SortMergeJoin [cell" in p]
