@@ -88,7 +88,8 @@ def test_quantized(spark):
 
 
 def packed(name, x, ids, sample=None, k=5):
-    columns = {"block": [name] * len(x), "key": [f"v{i}" for i in ids], "vector": x, "ids": [[i, i + 10_000] for i in ids]}
+    columns = {"block": [name] * len(x), "key": [f"v{i}" for i in ids], "vector": x}
+    columns["ids"] = [[i, i + 10_000] for i in ids]
     table = topk._packed(len(x[0]), sample, k)(pa.table(columns))
     return table.append_column("query", pa.array([sample is not None]))
 
@@ -162,3 +163,12 @@ def test_cells_are_split_without_dealing_vectors_out_by_cell(spark, small, monke
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     blocks = [p for p in plans if "FlatMapGroupsInArrow" in p and "block" in p]
     assert blocks and not [p for p in blocks if "SortMergeJoin [cell" in p]
+
+
+def test_blocks_ship_the_narrowest_integers():
+    ends = [(0, 0, 1), (-128, 127, 1), (-129, 0, 2), (0, 128, 2), (0, 1 << 15, 4), (-(1 << 63), (1 << 63) - 1, 8)]
+    for least, most, size in ends:
+        x = np.array([[least, most, 1]])
+        assert topk._narrow(x).itemsize == size and (topk._narrow(x) == x).all()
+    (row,) = packed("a", [[-128, 127], [3, 4]], [1, 2]).to_pylist()
+    assert len(row["data"]) == 4 and row["kind"] == "|i1"
