@@ -144,3 +144,25 @@ def test_every_rule_passes_the_gate(spark):
     lines = sorted({t for r in rules() for t in alternatives(parser.parse(r.pattern))})
     df = spark.createDataFrame([(t,) for t in lines], "t string")
     assert [r.t for r in df.where(~df.t.rlike(GATE)).collect()] == []
+
+
+ODD = [
+    None, None, "", " ", "\t\r\n \x0b\x00\x7f-_", "a", " a", "a ", "_a_", "a--b", "-a\x00b\x1fc\x7fd\x80e", "é É ß İ K", "Ünder THE mit LICENSE",
+    "under the MIT license", "under the mit license", "CC -- BY\n\n-- NC", "xcc by nc", "cc by ncs", "ccby nc", "sublicense misunderstand",
+    "under the mit licenseé", "—under the mit license", "under the mit license", "UNDER_THE__MIT LICENSE_", "noderivK cc by nc nd",
+    "creativecommons.org/publicdomain/zero/1.0", "😀 licensed under 😀 the MIT license", "a\n" * 500 + "all rights reserved",
+]
+
+
+def test_odd_texts_and_ids(spark):
+    rows = [(i if i else None, t) for i, t in enumerate(ODD)] + [(None, "x y"), (3, "x y"), (3, "x y")]
+    got = scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    want = sorted(repr((i, *expected(t))) for i, t in rows)
+    assert sorted(repr(tuple(r)) for r in got) == want
+
+
+def test_words_are_counted_on_the_line_that_rules_read(spark):
+    df = spark.createDataFrame([(1, "x")], "doc_id int, text string").repartition(2)
+    plan = scan(df)._jdf.queryExecution().optimizedPlan().toString()
+    used = [name for name in re.findall(r"(\w+)\((?:coalesce\()?text#", plan) if name.startswith(("regexp", "rlike", "translate"))]
+    assert used == ["regexp_replace"] and "RLIKE(text#" not in plan and "text#" in plan
