@@ -5,6 +5,7 @@ import re
 import re._parser as parser
 from dataclasses import replace
 
+from tidebar.llm import licenses
 from tidebar.llm.licenses import BASE, GATE, rules, scan
 from tidebar.llm.queries import op4_license_scan
 
@@ -166,3 +167,22 @@ def test_words_are_counted_on_the_line_that_rules_read(spark):
     plan = scan(df)._jdf.queryExecution().optimizedPlan().toString()
     used = [name for name in re.findall(r"(\w+)\((?:coalesce\()?text#", plan) if name.startswith(("regexp", "rlike", "translate"))]
     assert used == ["regexp_replace"] and "RLIKE(text#" not in plan and "text#" in plan
+
+
+def test_found_keywords_admit_the_rules_of_all_that_occur(spark):
+    every = rules()
+    rng = random.Random(6)
+    words = sorted({w for r in every for w in r.keyword.split()}) + ["xmit", "redistributionsx", "cc0x", "licensed", "é", "a"]
+    lines = [f" {' '.join(rng.choices(words, k=rng.randrange(0, 30)))} " for _ in range(300)]
+    lines += [" not licensed under not licenced under licensed ", " redistributions redistribution ", " ", " cc0 cc "]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    found = df.selectExpr("line", f"regexp_extract_all(line, r'{licenses._keywords(every)}', 1) AS found").collect()
+    for line, names in found:
+        admitted = {r.keyword for r in every if any(n.startswith(r.keyword) for n in names)}
+        assert admitted == {r.keyword for r in every if f" {r.keyword}" in line}
+
+
+def test_what_a_rule_needs_is_in_all_its_hits():
+    for r in rules():
+        for text in alternatives(parser.parse(r.pattern)):
+            assert f" {r.keyword}" in f" {text}" and f" {r.also}" in f" {text} "
